@@ -7,11 +7,11 @@ from sparecost.operators.merge import (
     broadcast_checked,
     merge_update,
     unique_source,
-    with_slot,
+    with_spread,
 )
 from sparecost.operators.waterfall import Step, waterfall_lookup
 
 __all__ = [
     "BROADCAST_ROWS", "Pool", "Rule", "Step", "allocate_pool", "broadcast_bounded", "broadcast_checked", "latest_per_key",
-    "merge_update", "rate_by_group", "rule_cascade", "unique_source", "waterfall_lookup", "with_slot",
+    "merge_update", "rate_by_group", "rule_cascade", "unique_source", "waterfall_lookup", "with_spread",
 ]

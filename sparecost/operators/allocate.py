@@ -64,7 +64,6 @@ def allocate_pool(
     zero_base: str = "skip",
     extra: dict | None = None,
     sums_from: DataFrame | None = None,
-    slot: str | None = None,
 ) -> DataFrame:
     """out = amount of the key / sum of weight over `base` lines of the key x share of the line.
 
@@ -73,7 +72,6 @@ def allocate_pool(
     extra   further constants to set on the lines that receive a share
     sums_from  the same lines as a stored stage, if `base` and `weight` use only its columns: the
             totals then read that table and not the plan of the allocations before this one
-    slot    column from with_slot(), for keys that are null on many lines
 
     Pools are masters: their rates are broadcast if the counted pool allows, since keys such as
     region are few and hot and must not decide where lines are shuffled to. A pool beyond the bound
@@ -89,5 +87,4 @@ def allocate_pool(
         {out: F.col("src___rate") * share, **(extra or {})},
         where=base if target is None else target,
         on_duplicate="unique",
-        slot=slot,
     )

@@ -9,6 +9,7 @@ from sparecost.operators.latest import latest_per_key
 
 BROADCAST_ROWS = 100_000
 _SLOTS = 1024
+_NO_KEY = "\u0000"
 LINE_KEY = "unique_link_key"
 
 
@@ -32,18 +33,15 @@ def broadcast_bounded(df: DataFrame, by: DataFrame, max_rows: int = BROADCAST_RO
     return df
 
 
-def with_slot(df: DataFrame, keys, name: str, spread: str = LINE_KEY) -> DataFrame:
-    """Add a join slot: 0 where all keys are present, else one of many spread slots.
+def with_spread(df: DataFrame, key: str, name: str, by: str = LINE_KEY) -> DataFrame:
+    """Add `name`: the join key, or where it is null one of many values that no source row has.
 
-    Lines without a tag or part are a large share of all lines. With the slot as a further
-    join key they spread over the partitions instead of meeting in the one of the null key.
-    The slot depends on the row only, so a recomputed task puts every row in the same place.
+    Lines without a tag or part are a large share of all lines. As nulls they would meet in one
+    partition of every join on that key; this way they spread over all of them. The value depends on
+    the row only, so a recomputed task puts every row in the same place.
     """
-    present = F.lit(True)
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    salt = (F.pmod(F.xxhash64(F.col(spread)), F.lit(_SLOTS - 1)) + 1).cast("int")
-    return df.withColumn(name, F.when(present, F.lit(0)).otherwise(salt))
+    slot = F.pmod(F.xxhash64(F.col(by)), F.lit(_SLOTS)).cast("string")
+    return df.withColumn(name, F.coalesce(F.col(key), F.concat(F.lit(_NO_KEY), slot)))
 
 
 def unique_source(src: DataFrame, keys, on_duplicate: str = "error", order=(), tiebreak=()) -> DataFrame:
@@ -81,7 +79,6 @@ def merge_update(
     order=(),
     tiebreak=(),
     small: bool = False,
-    slot: str | None = None,
 ) -> DataFrame:
     """Set `set_` columns of `df` from the row of `src` with the same key.
 
@@ -90,7 +87,8 @@ def merge_update(
     where    rows of df that may change; expressions see the values before the update
     unmatched  'keep' leaves the target of rows without a source row, 'null' clears it
     small    the source is a master: broadcast it if its counted size allows
-    slot     column from with_slot(), for keys that are null on many rows
+
+    A key that is null on many rows is given as the column with_spread() made of it.
     """
     on = on if isinstance(on, dict) else {k: k for k in on}
     src = unique_source(src, list(on), on_duplicate, order, tiebreak)
@@ -109,9 +107,6 @@ def merge_update(
         else:
             left = left.withColumn(f"__e{i}", expr)
             keys.append(F.col(f"l.__e{i}") == F.col(f"r.__k{i}"))
-    if slot and not small:
-        right = right.withColumn("__slot", F.lit(0))
-        keys.append(F.col(f"l.{slot}") == F.col("r.__slot"))
     condition = keys[0]
     for key in keys[1:]:
         condition = condition & key

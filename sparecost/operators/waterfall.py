@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,8 +28,6 @@ class Step:
     order: tuple = ()
     tiebreak: tuple = ()
     small: bool = False
-    slot: str | None = None
-    columns: dict = field(default_factory=dict)
 
 
 def _source(step: Step, number: int) -> DataFrame:
@@ -47,12 +45,13 @@ def waterfall_lookup(df: DataFrame, steps: list[Step], missing: Column) -> DataF
 
     Steps that use the same key columns are first joined among themselves, so the large table is
     shuffled once per distinct key and not once per source; the order is then a select per step.
+    Shorter keys are joined first: their partitioning also serves a longer key that contains them.
     """
     groups: dict[tuple, list[int]] = {}
     for number, step in enumerate(steps):
-        groups.setdefault((tuple(step.on.values()), step.slot), []).append(number)
+        groups.setdefault(tuple(step.on.values()), []).append(number)
     joined = df
-    for (names, slot), numbers in groups.items():
+    for names, numbers in sorted(groups.items(), key=lambda group: len(group[0])):
         keys = [f"__k{i}" for i in range(len(names))]
         sources = [_source(steps[n], n) for n in numbers]
         right = reduce(lambda a, b: a.join(b, keys, "full"), sources)
@@ -62,13 +61,10 @@ def waterfall_lookup(df: DataFrame, steps: list[Step], missing: Column) -> DataF
         for key, name in zip(keys, names):
             equal = F.col(f"l.{name}") == F.col(f"r.{key}")
             condition = equal if key == "__k0" else condition & equal
-        if slot:
-            right = right.withColumn("__slot", F.lit(0))
-            condition = condition & (F.col(f"l.{slot}") == F.col("r.__slot"))
         kept = joined.columns
         joined = joined.alias("l").join(right.alias("r"), condition, "left").select(
             *[F.col(f"l.{c}") for c in kept],
-            *[F.col(f"r.{c}") for c in right.columns if c not in keys and c != "__slot"],
+            *[F.col(f"r.{c}") for c in right.columns if c not in keys],
         )
     for number, step in enumerate(steps):
         fires = F.col(f"s{number}_hit").isNotNull() & missing

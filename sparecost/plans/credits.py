@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import Pool, Rule, allocate_pool, broadcast_checked, merge_update, rule_cascade, with_slot
+from sparecost.operators import Pool, Rule, allocate_pool, broadcast_checked, merge_update, rule_cascade, with_spread
 from sparecost.plans.pools import QTY, outside_excluded
 from sparecost.plans.standards import _add
 
@@ -56,7 +56,7 @@ def virtual_credit(
 
 def priced_credit(lines: DataFrame, prices: DataFrame, period: str, by_consumed: bool = False) -> DataFrame:
     """Credit at list price by disposition and commodity; other combinations lose their credit."""
-    lines = with_slot(_ready(lines), ["received_part_kit_part_number"], "kit_slot")
+    lines = with_spread(_ready(lines), "received_part_kit_part_number", "kit_key")
     listed = prices.filter(F.col("data_period") == period).select("region", "part_number", "commodity", "final_price")
     flag, commodity = F.col("final_disp_flag"), F.col("src_commodity")
     qty = F.col(QTY if by_consumed else "part_qty_received")
@@ -73,9 +73,9 @@ def priced_credit(lines: DataFrame, prices: DataFrame, period: str, by_consumed:
     if not by_consumed:
         scope = scope & (F.col("part_qty_received") == 1)
     return merge_update(
-        lines, listed, {"region": "region", "part_number": "received_part_kit_part_number"},
-        {"credits": credits, "credit_comments": F.when(known, F.lit(_SUPPLIER))}, where=scope, slot="kit_slot",
-    ).drop("kit_slot")
+        lines, listed, {"region": "region", "part_number": "kit_key"},
+        {"credits": credits, "credit_comments": F.when(known, F.lit(_SUPPLIER))}, where=scope,
+    ).drop("kit_key")
 
 
 def contract_averages(contract: DataFrame, contract_iw: DataFrame, named_vendors: DataFrame, period: str) -> DataFrame:
@@ -124,13 +124,13 @@ _AVERAGES = ("oow", "nb_named", "nb_org", "iw", "iw_named", "iw_org")
 
 
 def _attach(lines: DataFrame, averages: DataFrame) -> DataFrame:
-    lines = with_slot(_ready(lines), ["physical_part_number", "received_month"], "physical_slot")
+    lines = with_spread(_ready(lines), "physical_part_number", "physical_key")
     values = {f"{a}_{s}": f"{a}_{s}" for a in _AVERAGES for s in ("avg", "n")}
     lines = merge_update(
-        lines, averages, {"region": "region", "part_no": "physical_part_number", "month": "received_month"},
-        values, on_duplicate="unique", slot="physical_slot",
+        lines, averages, {"region": "region", "part_no": "physical_key", "month": "received_month"},
+        values, on_duplicate="unique",
     )
-    return lines.drop("physical_slot")
+    return lines.drop("physical_key")
 
 
 def _has(name: str) -> Column:

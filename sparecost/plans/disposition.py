@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparecost import rules as R
 from sparecost.functions import semantics as S
 from sparecost.operators import Rule, merge_update, rule_cascade
-from sparecost.plans.link import TAG_SLOT
+from sparecost.plans.link import by_tag
 
 FLAG = "final_disp_flag"
 
@@ -16,16 +16,15 @@ FLAG = "final_disp_flag"
 def _attach_lookups(lines: DataFrame, tag_flag: DataFrame, tag_vendor: DataFrame, flag_rules: DataFrame,
                     period: str) -> DataFrame:
     """Bring in every lookup that does not depend on the flag, before any rule runs."""
-    slot = TAG_SLOT if TAG_SLOT in lines.columns else None
     apj, current = F.col("region") == "APJ", F.col("data_period") == period
     yes = F.lit(True)
     lines = merge_update(
-        lines, tag_flag.filter(current).select("flow_tag", "disposition"), ["flow_tag"],
-        {"tag_flag": "disposition", "tag_flag_hit": yes}, where=apj, slot=slot,
+        lines, tag_flag.filter(current).select("flow_tag", "disposition"), by_tag(lines),
+        {"tag_flag": "disposition", "tag_flag_hit": yes}, where=apj, small=True,
     )
     lines = merge_update(
-        lines, tag_vendor.filter(current).select("flow_tag", "final_disposition"), ["flow_tag"],
-        {"vendor_flag": "final_disposition", "vendor_flag_hit": yes}, where=apj, slot=slot,
+        lines, tag_vendor.filter(current).select("flow_tag", "final_disposition"), by_tag(lines),
+        {"vendor_flag": "final_disposition", "vendor_flag_hit": yes}, where=apj, small=True,
     )
     table = flag_rules.select("supplier", "repair_disposition", "repair_warranty_status", "final_disp_flag")
     west = F.col("region").isin("AME", "EMEA")

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import latest_per_key, merge_update, with_slot
+from sparecost.operators import latest_per_key, merge_update, with_spread
 
-TAG_SLOT = "tag_slot"
+TAG_KEY = "tag_key"
 KEY = "unique_link_key"
 
 
@@ -70,15 +70,15 @@ def repair_link(lines: DataFrame, repairs: DataFrame, period: R.Period) -> DataF
     wanted = usable_repairs(repairs, period)
     newest = _newest(wanted).select("flow_tag", F.col("repair_id").alias("newest_id"))
     found = wanted.join(newest.join(_winners(lines), "flow_tag", "left"), "flow_tag").select(
-        "flow_tag", "repair_id", *[v.alias(k) for k, v in _repair_values().items()], "newest_id", "winner",
-        F.lit(0).alias(TAG_SLOT),
+        F.col("flow_tag").alias(TAG_KEY), "repair_id", *[v.alias(k) for k, v in _repair_values().items()],
+        "newest_id", "winner",
     )
-    tagged = with_slot(lines, ["flow_tag"], TAG_SLOT).join(found, ["flow_tag", TAG_SLOT], "left")
+    tagged = with_spread(lines, "flow_tag", TAG_KEY).join(found, TAG_KEY, "left")
     used = (F.col("repair_id") == F.col("newest_id")) & (F.col(KEY) == F.col("winner"))
     return (
         tagged.withColumn("repair_tag_used", F.when(F.col("repair_id").isNotNull(), F.when(used, "Y").otherwise("N")))
         .withColumn("repair_tat", _turnaround())
-        .drop("newest_id", "winner", TAG_SLOT)
+        .drop("newest_id", "winner", TAG_KEY)
     )
 
 
@@ -86,13 +86,13 @@ def latest_repair(lines: DataFrame, repairs: DataFrame, period: R.Period) -> Dat
     """Lines with the newest repair of their tag; of lines that share a repaired tag one survives.
 
     Repairs and lines are both cut to one row per tag before they meet, so a tag with many lines
-    and many repairs never forms their product. The slot column stays for the joins that follow.
+    and many repairs never forms their product. The spread tag key stays for the joins that follow.
     """
     newest = _newest(usable_repairs(repairs, period))
-    by_tag = newest.join(_winners(lines), "flow_tag", "inner").select(
-        "flow_tag", *[v.alias(k) for k, v in _repair_values().items()], "winner", F.lit(0).alias(TAG_SLOT)
+    found = newest.join(_winners(lines), "flow_tag", "inner").select(
+        F.col("flow_tag").alias(TAG_KEY), *[v.alias(k) for k, v in _repair_values().items()], "winner"
     )
-    linked = with_slot(lines, ["flow_tag"], TAG_SLOT).join(by_tag, ["flow_tag", TAG_SLOT], "left")
+    linked = with_spread(lines, "flow_tag", TAG_KEY).join(found, TAG_KEY, "left")
     return (
         linked.filter(F.col("winner").isNull() | (F.col("winner") == F.col(KEY)))
         .withColumn("repair_tag_used", F.when(F.col("winner").isNotNull(), F.lit("Y")))
@@ -139,8 +139,8 @@ def link_returns(lines: DataFrame, dc_returns: DataFrame, period: R.Period) -> D
         "dcr_vendor_name": F.col("src_fl_vendor_name"),
     }
     return merge_update(
-        lines, latest_return(dc_returns, period), ["flow_tag"], {k: F.when(fits, v) for k, v in values.items()},
-        on_duplicate="unique", slot=_slot(lines),
+        lines, latest_return(dc_returns, period), by_tag(lines), {k: F.when(fits, v) for k, v in values.items()},
+        on_duplicate="unique",
     )
 
 
@@ -169,8 +169,8 @@ def link_rma(lines: DataFrame, rma: DataFrame, period: R.Period) -> DataFrame:
         "rma_release_month": S.year_month("src_container_release"),
     }
     return merge_update(
-        lines, latest_rma(rma, period), ["flow_tag"], {k: F.when(fits, v) for k, v in values.items()},
-        on_duplicate="unique", slot=_slot(lines),
+        lines, latest_rma(rma, period), by_tag(lines), {k: F.when(fits, v) for k, v in values.items()},
+        on_duplicate="unique",
     )
 
 
@@ -197,20 +197,21 @@ def override_repairs(lines: DataFrame, patches: dict) -> DataFrame:
             ["repair_disposition", "repair_warranty_status"],
         )
         lines = merge_update(
-            lines, stacked.drop("turn"), ["flow_tag"],
+            lines, stacked.drop("turn"), by_tag(lines),
             {"repair_disposition": "repair_disposition", "repair_warranty_status": "repair_warranty_status"},
-            where=F.col("region") == region, on_duplicate="unique", slot=_slot(lines),
+            where=F.col("region") == region, on_duplicate="unique", small=True,
         )
     return lines
 
 
-def _slot(lines: DataFrame) -> str | None:
-    return TAG_SLOT if TAG_SLOT in lines.columns else None
+def by_tag(lines: DataFrame) -> dict:
+    """Join on the tag: the spread key where the link stage has made it."""
+    return {"flow_tag": TAG_KEY if TAG_KEY in lines.columns else "flow_tag"}
 
 
 def link(lines: DataFrame, repairs: DataFrame, dc_returns: DataFrame, rma: DataFrame, patches: dict,
          period: R.Period) -> DataFrame:
-    """The whole linking stage; every join is by flow tag and slot, so lines are shuffled once."""
+    """The whole linking stage; every join is by the tag key, so lines are shuffled once."""
     lines = clean_part_numbers(latest_repair(lines, repairs, period))
     lines = link_returns(lines, dc_returns, period)
     lines = pick_hub_values(link_rma(lines, rma, period))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparecost import rules as R
 from sparecost.functions import semantics as S
 from sparecost.operators import Pool, allocate_pool, broadcast_bounded, latest_per_key, merge_update, rate_by_group
-from sparecost.plans.link import TAG_SLOT, tag_in_use
+from sparecost.plans.link import by_tag, tag_in_use
 from sparecost.plans.standards import _add
 
 QTY = "part_qty_consumed"
@@ -106,9 +106,9 @@ def charge_by_tag(lines: DataFrame, charges: DataFrame, region: str, period: str
     """Charges billed per tag: (flow_tag, charge, turn); the highest turn of a tag wins."""
     newest = latest_per_key(_period(charges, period), ["flow_tag"], ["turn"], ["charge"])
     return merge_update(
-        _add(lines, ["nppo_cost"]), newest.select("flow_tag", "charge"), ["flow_tag"],
+        _add(lines, ["nppo_cost"]), newest.select("flow_tag", "charge"), by_tag(lines),
         {"nppo_cost": F.col("src_charge").cast("double")}, where=F.col("region") == region,
-        on_duplicate="unique", slot=TAG_SLOT if TAG_SLOT in lines.columns else None,
+        on_duplicate="unique", small=True,
     )
 
 

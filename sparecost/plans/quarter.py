@@ -9,7 +9,7 @@ from sparecost import rules as R
 from sparecost.plans import consumption, credits, pools, standards
 from sparecost.plans.base import event_base
 from sparecost.plans.disposition import final_disposition
-from sparecost.plans.link import TAG_SLOT, link
+from sparecost.plans.link import TAG_KEY, link
 from sparecost.plans.supplier import assign_suppliers
 from sparecost.session import stage_end
 
@@ -104,4 +104,4 @@ def run_quarter(
     lines = stage_end(costed(lines, inputs, period))
     lines = stage_end(charged(lines, inputs, period))
     lines = stage_end(credited(lines, inputs, period, options))
-    return totalled(lines, inputs, period).drop(TAG_SLOT)
+    return totalled(lines, inputs, period).drop(TAG_KEY)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import Step, merge_update, waterfall_lookup, with_slot
+from sparecost.operators import Step, merge_update, waterfall_lookup, with_spread
 
 COST_COLUMNS = (
     "event_pn_rvs", "event_pn_nrs", "kit_pn_rvs", "physical_pn_rvs", "physical_pn_nrs", "physical_pn_nbs",
@@ -29,39 +29,38 @@ def standard_costs(
 
     A later source is used only while the cost is null or zero. Event parts read the regional cost
     of the fixed cost month, so their three sources share one key and one join; the others read the
-    month of receipt first and the two period sources by part.
+    month of receipt first and the two period sources by part. Lines are shuffled once per part role.
     """
     lines = _add(lines, COST_COLUMNS)
-    lines = with_slot(lines, ["received_part_kit_part_number"], "kit_slot")
-    lines = with_slot(lines, ["physical_part_number"], "physical_slot")
+    lines = with_spread(lines, "received_part_kit_part_number", "kit_key")
+    lines = with_spread(lines, "physical_part_number", "physical_key")
     current = F.col("data_period") == period.period
     fixed = regional.filter(F.col("report_month") == period.cost_month)
     later = [t.filter(current).select("region", "part_number", "rvs", "nrs") for t in (sap, adjustments)]
 
-    both = {"event_pn_rvs": "rvs", "event_pn_nrs": "nrs"}
-    steps = [Step(fixed.select("region", "part_no", "rvs", "nrs"), {"region": "region", "part_no": "part_number"}, both)]
-    steps += [Step(t, {"region": "region", "part_number": "part_number"}, both) for t in later]
-    lines = waterfall_lookup(
-        lines, steps, S.is_null_or_zero("event_pn_rvs") & S.is_null_or_zero("event_pn_nrs")
-    )
-
-    for part, slot, values, missing in (
-        ("received_part_kit_part_number", "kit_slot", {"kit_pn_rvs": "rvs"}, "kit_pn_rvs"),
-        ("physical_part_number", "physical_slot", {"physical_pn_rvs": "rvs", "physical_pn_nrs": "nrs"},
-         "physical_pn_rvs"),
+    for part, values, missing in (
+        ("kit_key", {"kit_pn_rvs": "rvs"}, "kit_pn_rvs"),
+        ("physical_key", {"physical_pn_rvs": "rvs", "physical_pn_nrs": "nrs"}, "physical_pn_rvs"),
     ):
         monthly = {"region": "region", "part_no": part, "report_month": "received_month"}
         by_month = regional.select("region", "part_no", "report_month", "rvs", "nrs")
-        steps = [Step(by_month, monthly, values, slot=slot)]
-        steps += [Step(t, {"region": "region", "part_number": part}, values, slot=slot) for t in later]
+        steps = [Step(by_month, monthly, values)]
+        steps += [Step(t, {"region": "region", "part_number": part}, values) for t in later]
         lines = waterfall_lookup(lines, steps, S.is_null_or_zero(missing))
 
     new_buy = service.select("region", "part", "period", "new_buy")
     lines = merge_update(
-        lines, new_buy, {"region": "region", "part": "physical_part_number", "period": "received_month"},
-        {"physical_pn_nbs": F.col("src_new_buy").cast("double")}, slot="physical_slot",
+        lines, new_buy, {"region": "region", "part": "physical_key", "period": "received_month"},
+        {"physical_pn_nbs": F.col("src_new_buy").cast("double")},
+    )
+    # event parts last: the repair averages that follow use the same key
+    both = {"event_pn_rvs": "rvs", "event_pn_nrs": "nrs"}
+    steps = [Step(fixed.select("region", "part_no", "rvs", "nrs"), {"region": "region", "part_no": "part_number"}, both)]
+    steps += [Step(t, {"region": "region", "part_number": "part_number"}, both) for t in later]
+    lines = waterfall_lookup(
+        lines, steps, S.is_null_or_zero("event_pn_rvs") & S.is_null_or_zero("event_pn_nrs")
     )
-    return lines.drop("kit_slot", "physical_slot")
+    return lines.drop("kit_key", "physical_key")
 
 
 def repair_averages(orders: DataFrame, year: str, quarter: str) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import Step, latest_per_key, merge_update, waterfall_lookup, with_slot
-from sparecost.plans.link import TAG_SLOT
+from sparecost.operators import Step, latest_per_key, merge_update, waterfall_lookup, with_spread
+from sparecost.plans.link import by_tag
 
 SUPPLIER_COLUMNS = ("l1_supplier", "l1_supplier_source", "l2_supplier", "supplier_type")
 
@@ -74,28 +74,27 @@ def contract_fallback(lines: DataFrame, contracts: DataFrame, new_buy: DataFrame
     The three regions share one keyed vendor table per contract kind, and both kinds share the join
     of their key, so the fallback costs one join per key column.
     """
-    lines = with_slot(lines, ["received_part_kit_part_number"], "kit_slot")
+    lines = with_spread(lines, "received_part_kit_part_number", "kit_key")
     steps = []
     for source, label in ((contract_vendors(contracts, period), "CCS Return"),
                           (contract_vendors(new_buy, period, "NB"), "CCS NB")):
         fill = {"l1_supplier": "vendor", "l1_supplier_source": F.lit(label), "supplier_type": F.lit("Repair")}
-        for part, slot in (("received_part_kit_part_number", "kit_slot"), ("part_number", None)):
-            steps.append(Step(source, {"region": "region", "part": part}, fill, on_duplicate="unique", slot=slot))
-    return waterfall_lookup(lines, steps, S.is_blank("l1_supplier")).drop("kit_slot")
+        for part in ("kit_key", "part_number"):
+            steps.append(Step(source, {"region": "region", "part": part}, fill, on_duplicate="unique"))
+    return waterfall_lookup(lines, steps, S.is_blank("l1_supplier")).drop("kit_key")
 
 
 def override_by_tag(lines: DataFrame, tag_vendor: DataFrame, tag_supplier: DataFrame, period: str) -> DataFrame:
     """Named overrides of APJ lines by tag: both levels first, then the first level alone."""
-    slot = TAG_SLOT if TAG_SLOT in lines.columns else None
     apj = F.col("region") == "APJ"
     current = F.col("data_period") == period
     lines = merge_update(
-        lines, tag_vendor.filter(current).select("flow_tag", "final_vendor"), ["flow_tag"],
-        {"l1_supplier": "final_vendor", "l2_supplier": "final_vendor"}, where=apj, slot=slot,
+        lines, tag_vendor.filter(current).select("flow_tag", "final_vendor"), by_tag(lines),
+        {"l1_supplier": "final_vendor", "l2_supplier": "final_vendor"}, where=apj, small=True,
     )
     return merge_update(
-        lines, tag_supplier.filter(current).select("flow_tag", "l1_supplier"), ["flow_tag"],
-        {"l1_supplier": "l1_supplier"}, where=apj, slot=slot,
+        lines, tag_supplier.filter(current).select("flow_tag", "l1_supplier"), by_tag(lines),
+        {"l1_supplier": "l1_supplier"}, where=apj, small=True,
     )
 
 
@@ -129,13 +128,13 @@ def last_fallback(lines: DataFrame, contracts: DataFrame, period: str) -> DataFr
 
     This comes after the second level, which therefore stays blank.
     """
-    lines = with_slot(lines, ["physical_part_number"], "physical_slot")
+    lines = with_spread(lines, "physical_part_number", "physical_key")
     fill = {"l1_supplier": "vendor", "l1_supplier_source": F.lit("CCS Return"), "supplier_type": F.lit("Repair")}
     step = Step(
-        contract_vendors(contracts, period), {"region": "region", "part": "physical_part_number"}, fill,
-        where=F.col("region") == "AME", on_duplicate="unique", slot="physical_slot",
+        contract_vendors(contracts, period), {"region": "region", "part": "physical_key"}, fill,
+        where=F.col("region") == "AME", on_duplicate="unique",
     )
-    return waterfall_lookup(lines, [step], S.is_blank("l1_supplier")).drop("physical_slot")
+    return waterfall_lookup(lines, [step], S.is_blank("l1_supplier")).drop("physical_key")
 
 
 def assign_suppliers(lines: DataFrame, inputs: dict, period: str, strict: bool = True) -> DataFrame:

@@ -310,6 +310,7 @@ TOTAL_STEPS = (O.same_day, lambda s: f"SELECT *, CAST(NULL AS DOUBLE) AS country
 
 
 def inputs_of(bed: Bed) -> dict[str, DataFrame]:
+    bed.store("sale")
     return {n: bed[n] for n in quarter.INPUTS}
 
 
