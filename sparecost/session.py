@@ -13,8 +13,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that adds a shuffle for a later operator
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # lines carry more than the default hundred columns
-    "spark.sql.codegen.maxFields": "250",
     # lines already partitioned by region and part also serve joins by region, part and month
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
