@@ -1,5 +1,5 @@
 from sparecost.sources.readers import (
-    append_tables, column_map, read_months, read_remote, read_table, recode_regions, strict_load,
+    append_tables, column_map, read_months, read_remote, read_table, recode_regions, spread_rows, strict_load,
 )
 from sparecost.sources.writers import (
     backfill, full_refresh, overwrite_period, replace_window, reload_window, stamp_period,
@@ -7,5 +7,5 @@ from sparecost.sources.writers import (
 
 __all__ = [
     "append_tables", "backfill", "column_map", "full_refresh", "overwrite_period", "read_months", "read_remote",
-    "read_table", "recode_regions", "reload_window", "replace_window", "stamp_period", "strict_load",
+    "read_table", "recode_regions", "reload_window", "replace_window", "spread_rows", "stamp_period", "strict_load",
 ]
