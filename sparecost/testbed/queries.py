@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -334,8 +335,6 @@ QUERIES["variance_by_product_line"] = Query(flagship, O.statement((*BASE_INPUTS,
 
 
 def scratch(bed: Bed, name: str) -> str:
-    import uuid
-
     return f"{checkpoint_dir(bed.spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -415,7 +414,7 @@ plain("append_years", lambda bed: sources.append_tables(bed["rma"].filter("year(
 def history_backfill(bed: Bed) -> DataFrame:
     history = bed["lines"].select(KEY, "region", F.lit(None).cast("string").alias("so_item"), "dmr_status")
     staging = bed["service_events"].select(KEY, "so_item")
-    return sources.backfill(history, staging.filter("part_qty_demanded > 20") if "part_qty_demanded" in staging.columns else staging, KEY, ["so_item"])
+    return sources.backfill(history, staging, KEY, ["so_item"])
 
 
 plain("history_backfill", history_backfill, ("lines", "service_events"), """SELECT l.unique_link_key, l.region, e.so_item, l.dmr_status FROM lines l
