@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparecost.llm.common import Scratch
+
 _SPLIT = r"'[\\x20\\x09-\\x0D]+'"
 _BLANK = r"' \t\n\u000b\u000c\r'"
 REPEAT_WINDOW = 8
@@ -97,4 +99,6 @@ def quality_rules(
     total = F.aggregate("__grams", F.lit(0.0), lambda a, b: a + F.get(ratios, b))
     found = found.withColumn("score", F.when(F.size("__grams") == 0, 0.0).otherwise(total / F.size("__grams")))
     found = found.withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
-    return found.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("__grams")
+    found = found.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("__grams")
+    # stored, as a filter on the verdict would be pushed below the arrays of words and compute them for every word again
+    return Scratch(docs.sparkSession, "rules").keep(found, "result")
