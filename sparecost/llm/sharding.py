@@ -52,10 +52,10 @@ def shard_documents(
     order = scratch.keep(shuffled(rows, ["doc_id", "text_crc32", "size"], F.col("size"), seed, bucket_bytes), "order")
     # one row per bucket, a bucket holding megabytes
     counts = order.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.withColumn("before", F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-    totals = order.agg(F.count(F.lit(1)).alias("total"))
-    placed = order.join(F.broadcast(before.select("bucket", F.coalesce("before", F.lit(0)).alias("before"))), "bucket")
-    placed = placed.join(F.broadcast(totals)).withColumn("at", F.col("before") + F.col("place"))
+    so_far = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        "bucket", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    placed = order.join(F.broadcast(before), "bucket").withColumn("at", F.col("before") + F.col("place"))
     placed = placed.withColumn("shard", F.expr(f"cast(at * {shards} div total as int)"))
     first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
     return placed.select(
