@@ -69,7 +69,7 @@ def choose_boundary(sizes: np.ndarray, percent: int, load: float) -> int:
     """Size from which scanning lists costs less than enumerating subsets.
 
     A small set costs one row per pair of its prefix; a large one a row per element of its prefix and `load` rows met on
-    its list. Sets just below the boundary cost both.
+    its list, load being that of the lighter cells against the mean. Sets just below the boundary cost both.
     """
     n = np.arange(len(sizes))
     p1 = np.array([prefix(int(k), percent, 1) for k in n])
@@ -176,17 +176,19 @@ def jaccard_components(
     ranks = np.empty(len(cells), np.uint64)
     ranks[np.lexsort((np.arange(len(cells)), cells))] = np.arange(len(cells), dtype=np.uint64) << _U(48)
     if boundary is None:
-        total = max(1, cells.sum())
-        boundary = choose_boundary(sizes, percent, float((cells.astype(float) ** 2).sum() / total / (total / len(cells))))
+        # a prefix takes its elements from the lighter cells
+        light = np.sort(cells)[:len(cells) // 2]
+        boundary = choose_boundary(sizes, percent, float(light.mean() / max(1e-9, cells.mean())))
     base = scratch.keep(given.mapInArrow(
         task(_postings, words, percent, boundary, ranks),
         "doc_id long, node long, n long, signatures array<long>, places array<int>"), "base")
-    members = base.select("doc_id", "node", "n")
+    members = scratch.keep(base.select("doc_id", "node", "n"), "members")
     posts = base.filter(F.size("signatures") > 0).select("node", "n", F.explode(F.arrays_zip("signatures", "places")).alias("p")).select(
         F.col("p.signatures").alias("sig"), "node", "n", F.col("p.places").alias("pos"))
     hubs = posts.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n")).alias("hub"))
     hubs = hubs.filter("low <> high").select("sig", F.col("hub.node").alias("h_node"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
     shared = scratch.keep(posts.join(hubs, "sig"), "shared")
+    scratch.drop("base")
     chosen = members.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sets = scratch.keep(chosen.join(given, "doc_id").select("node", "__text").mapInArrow(
         task(_elements, words, ranks), "node long, keys array<long>"), "sets")
@@ -208,4 +210,4 @@ def jaccard_components(
     smallest = grouped.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     result = grouped.join(smallest, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
-    return scratch.done(result, "base", "shared", "sets", "links", "more", *used)
+    return scratch.done(result, "members", "shared", "sets", "links", "more", *used)
