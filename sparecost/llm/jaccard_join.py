@@ -185,6 +185,8 @@ def jaccard_components(
     members = scratch.keep(base.select("doc_id", "node", "n"), "members")
     posts = base.filter(F.size("signatures") > 0).select("node", "n", F.explode(F.arrays_zip("signatures", "places")).alias("p")).select(
         F.col("p.signatures").alias("sig"), "node", "n", F.col("p.places").alias("pos"))
+    # one shuffle of the postings, for the lists and for the join with them
+    posts = posts.repartition("sig")
     hubs = posts.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n")).alias("hub"))
     hubs = hubs.filter("low <> high").select("sig", F.col("hub.node").alias("h_node"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
     shared = scratch.keep(posts.join(hubs, "sig"), "shared")
