@@ -2,9 +2,6 @@ from sparecost.operators.allocate import Pool, allocate_pool, rate_by_group
 from sparecost.operators.cascade import Rule, rule_cascade
 from sparecost.operators.latest import latest_per_key
 from sparecost.operators.merge import (
-    BROADCAST_ROWS,
-    broadcast_bounded,
-    broadcast_checked,
     merge_update,
     unique_source,
     with_spread,
@@ -12,6 +9,6 @@ from sparecost.operators.merge import (
 from sparecost.operators.waterfall import Step, waterfall_lookup
 
 __all__ = [
-    "BROADCAST_ROWS", "Pool", "Rule", "Step", "allocate_pool", "broadcast_bounded", "broadcast_checked", "latest_per_key",
+    "Pool", "Rule", "Step", "allocate_pool", "latest_per_key",
     "merge_update", "rate_by_group", "rule_cascade", "unique_source", "waterfall_lookup", "with_spread",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparecost.functions.semantics import col, exact_sum
-from sparecost.operators.merge import broadcast_bounded, merge_update, unique_source
+from sparecost.operators.merge import merge_update, unique_source
 
 
 @dataclass
@@ -73,13 +73,12 @@ def allocate_pool(
     sums_from  the same lines as a stored stage, if `base` and `weight` use only its columns: the
             totals then read that table and not the plan of the allocations before this one
 
-    Pools are masters: their rates are broadcast if the counted pool allows, since keys such as
-    region are few and hot and must not decide where lines are shuffled to. A pool beyond the bound
-    joins by shuffle, where adaptive execution splits hot keys.
+    Rates are aggregates of a master and small: adaptive execution broadcasts them once their bytes are known, so
+    few and hot keys such as region do not decide where lines are shuffled to. Larger rates join by shuffle, where it
+    splits hot keys.
     """
     rates = rate_by_group(lines if sums_from is None else sums_from, pool, weight, base, zero_base=zero_base)
     share = col(weight if share is None else share)
-    rates = broadcast_bounded(rates, pool.df)
     return merge_update(
         lines,
         rates,

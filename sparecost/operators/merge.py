@@ -7,32 +7,11 @@ from pyspark.sql import functions as F
 
 from sparecost.operators.latest import latest_per_key
 
-BROADCAST_ROWS = 100_000
 _SLOTS = 1024
 _NO_KEY = "\u0000"
 LINE_KEY = "unique_link_key"
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a master only after counting it; beyond the bound it joins by shuffle.
-
-    The count stops at the bound, so the check is cheap for a table of any size.
-    """
-    if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def broadcast_bounded(df: DataFrame, by: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a result that has at most one row per row of the master `by`, after counting `by`.
-
-    The result itself is not counted: it is computed from the large table.
-    """
-    if by.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def with_spread(df: DataFrame, key: str, name: str, by: str = LINE_KEY) -> DataFrame:
     """Add `name`: the join key, or where it is null one of many values that no source row has.
 
@@ -78,7 +57,6 @@ def merge_update(
     on_duplicate: str = "error",
     order=(),
     tiebreak=(),
-    small: bool = False,
 ) -> DataFrame:
     """Set `set_` columns of `df` from the row of `src` with the same key.
 
@@ -86,7 +64,6 @@ def merge_update(
     set_     {target: source column name, or an expression over df and src_<source column>}
     where    rows of df that may change; expressions see the values before the update
     unmatched  'keep' leaves the target of rows without a source row, 'null' clears it
-    small    the source is a master: broadcast it if its counted size allows
 
     A key that is null on many rows is given as the column with_spread() made of it.
     """
@@ -98,8 +75,6 @@ def merge_update(
         *[F.col(c).alias(f"src_{c}") for c in values],
         F.lit(True).alias("__hit"),
     )
-    if small:
-        right = broadcast_checked(right)
     left, keys = df, []
     for i, expr in enumerate(on.values()):
         if isinstance(expr, str):

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparecost.operators.merge import broadcast_checked, unique_source
+from sparecost.operators.merge import unique_source
 
 
 @dataclass
@@ -27,7 +27,6 @@ class Step:
     on_duplicate: str = "error"
     order: tuple = ()
     tiebreak: tuple = ()
-    small: bool = False
 
 
 def _source(step: Step, number: int) -> DataFrame:
@@ -55,8 +54,6 @@ def waterfall_lookup(df: DataFrame, steps: list[Step], missing: Column) -> DataF
         keys = [f"__k{i}" for i in range(len(names))]
         sources = [_source(steps[n], n) for n in numbers]
         right = reduce(lambda a, b: a.join(b, keys, "full"), sources)
-        if all(steps[n].small for n in numbers):
-            right = broadcast_checked(right)
         condition = F.lit(True)
         for key, name in zip(keys, names):
             equal = F.col(f"l.{name}") == F.col(f"r.{key}")

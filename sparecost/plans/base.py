@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import broadcast_checked, unique_source
+from sparecost.operators import unique_source
 
 _PICKED = {
     "received_month": "received_month",
@@ -73,7 +73,7 @@ def event_base(
     lines = events.filter(
         F.col("master_event_activity_month").between(period.start_month, period.end_month) & in_scope()
     )
-    hwpl = broadcast_checked(product_lines.select("hwpl", "spl"))
+    hwpl = product_lines.select("hwpl", "spl")
     parts = part_master.select(
         F.col("material").alias("part_number"), "region", "hw_prod_line", "part_commodity",
         F.col("material_description").alias("part_description"),
@@ -93,8 +93,11 @@ def event_base(
 
 
 def refresh_returns(lines: DataFrame, returns: DataFrame, period: str) -> DataFrame:
-    """Renew the return columns of one period; lines without a return row lose theirs."""
-    found = return_columns(returns)
+    """Renew the return columns of one period; lines without a return row lose theirs.
+
+    One row out per line: two return rows for one key fail the job. Returns without a key meet no line.
+    """
+    found = unique_source(return_columns(returns.filter(F.col("unique_link_key").isNotNull())), ["unique_link_key"])
     values = {c: c for c in found.columns if c != "unique_link_key"}
     values["receipt_type"] = F.coalesce(F.col("src_receipt_type"), F.lit(R.NO_RECEIPT))
     scope = F.col("data_period") == period

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import broadcast_checked, merge_update
+from sparecost.operators import merge_update
 
 
 def consumption_check(events: DataFrame, product_lines: DataFrame, first_month: str = "201511") -> DataFrame:
     """Consumed quantity by region, month, fiscal quarter and product line, ready for accounting's."""
-    hwpl = broadcast_checked(product_lines.select(F.col("hwpl").alias("event_hwpl"), "spl"))
+    hwpl = product_lines.select(F.col("hwpl").alias("event_hwpl"), "spl")
     wanted = events.filter(
         (F.col("master_event_activity_month") >= first_month) & F.col("source_system").isin(*R.SOURCE_SYSTEMS)
         & (F.col("region") != R.EXCLUDED_REGION) & (F.col("event_country_iso_cd") != R.EXCLUDED_COUNTRY)
@@ -32,7 +32,7 @@ def consumption_check(events: DataFrame, product_lines: DataFrame, first_month:
 def reconcile(check: DataFrame, accounting: DataFrame, months: DataFrame) -> DataFrame:
     """Set accounting's quantity next to ours; months maps accounting's month names."""
     mapped = accounting.join(
-        broadcast_checked(months.select(F.col("column_name").alias("month"), "month_transformed")), "month"
+        months.select(F.col("column_name").alias("month"), "month_transformed"), "month"
     ).select("region", F.col("month_transformed").alias("month"), "spl", F.col("cons_qty").alias("qty"))
     return merge_update(
         check, mapped.withColumn("name", F.col("spl")), {"region": "region", "month": "month", "spl": "event_spl"},
@@ -58,7 +58,7 @@ def event_check(events: DataFrame, part_master: DataFrame, product_lines: DataFr
     Without a month range the scope tests belong to the last join, so that no event is dropped and
     only the activity column of events out of scope is empty. With a range they filter the events.
     """
-    hwpl = broadcast_checked(product_lines.select(F.col("hwpl").alias("event_hwpl"), F.col("spl").alias("event_spl")))
+    hwpl = product_lines.select(F.col("hwpl").alias("event_hwpl"), F.col("spl").alias("event_spl"))
     parts = part_master.select(
         F.col("material").alias("part_number"), "region", "part_commodity",
         F.col("material_description").alias("part_description"),

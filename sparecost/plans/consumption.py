@@ -11,7 +11,6 @@ from sparecost.operators import Rule, merge_update, rule_cascade
 from sparecost.plans.standards import _add
 
 
-
 def first_pass(lines: DataFrame, service: DataFrame) -> DataFrame:
     """Costs that need no credit: exchange, repair, part-level, unknown and unused lines."""
     columns = [*lines.columns, *[c for c in ("cons_cost", "cons_cost_notes") if c not in lines.columns]]
@@ -111,7 +110,7 @@ def product_line_group(lines: DataFrame, regional_lines: DataFrame) -> DataFrame
     known = F.col("region").isin(*R.REGIONS)
     lines = merge_update(
         lines.withColumn("listed", F.lit(False)), lists, {"region": "region", "spl": "part_spl"},
-        {"listed": F.lit(True)}, on_duplicate="unique", small=True,
+        {"listed": F.lit(True)}, on_duplicate="unique"
     )
     return rule_cascade(lines, [
         Rule(known & S.not_blank("part_spl"), {"part_spl_desc": "PPS"}),

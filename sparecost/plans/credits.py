@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import Pool, Rule, allocate_pool, broadcast_checked, merge_update, rule_cascade, with_spread
+from sparecost.operators import Pool, Rule, allocate_pool, merge_update, rule_cascade, with_spread
 from sparecost.plans.pools import QTY, outside_excluded
 from sparecost.plans.standards import _add
 
@@ -90,7 +90,6 @@ def contract_averages(contract: DataFrame, contract_iw: DataFrame, named_vendors
     )
     # a vendor listed twice would count twice, as the join of the list does
     vendors = vendors.groupBy("region", "vendor_no").agg(F.sum("weight").alias("weight"))
-    listed = broadcast_checked(vendors)
     org = F.col("org_cd").isin(*R.CONTRACT_ORGS)
     new_buy = org & (F.col("transaction_type") == "NB") & (F.col("forecast_cost") >= 0)
     named = F.col("weight").isNotNull()
@@ -106,13 +105,13 @@ def contract_averages(contract: DataFrame, contract_iw: DataFrame, named_vendors
         return F.count(F.when(when, F.lit(1)))
 
     always = F.lit(True)
-    plain = contract.join(listed, ["region", "vendor_no"], "left").groupBy(*key).agg(
+    plain = contract.join(vendors, ["region", "vendor_no"], "left").groupBy(*key).agg(
         average("contract_cost", F.col("transaction_type") == "OC").alias("oow_avg"),
         count(F.col("transaction_type") == "OC").alias("oow_n"),
         average("forecast_cost", new_buy & named, "weight").alias("nb_named_avg"), count(new_buy & named).alias("nb_named_n"),
         average("forecast_cost", new_buy).alias("nb_org_avg"), count(new_buy).alias("nb_org_n"),
     )
-    warranty = contract_iw.join(listed, ["region", "vendor_no"], "left").groupBy(*key).agg(
+    warranty = contract_iw.join(vendors, ["region", "vendor_no"], "left").groupBy(*key).agg(
         average("contract_cost", always).alias("iw_avg"), count(always).alias("iw_n"),
         average("contract_cost", org & named, "weight").alias("iw_named_avg"), count(org & named).alias("iw_named_n"),
         average("contract_cost", org).alias("iw_org_avg"), count(org).alias("iw_org_n"),
@@ -195,7 +194,7 @@ def kitting_fee(lines: DataFrame, fees: DataFrame, period: str) -> DataFrame:
     current = fees.filter(F.col("data_period") == period).select("region", "month", "avg_kitting_fee")
     return merge_update(
         _ready(lines), current, {"region": "region", "month": "master_event_activity_month"},
-        {"credits": S.zero("credits") + F.col("src_avg_kitting_fee").cast("double")}, where=scope, small=True,
+        {"credits": S.zero("credits") + F.col("src_avg_kitting_fee").cast("double")}, where=scope
     )
 
 

@@ -20,11 +20,11 @@ def _attach_lookups(lines: DataFrame, tag_flag: DataFrame, tag_vendor: DataFrame
     yes = F.lit(True)
     lines = merge_update(
         lines, tag_flag.filter(current).select("flow_tag", "disposition"), by_tag(lines),
-        {"tag_flag": "disposition", "tag_flag_hit": yes}, where=apj, small=True,
+        {"tag_flag": "disposition", "tag_flag_hit": yes}, where=apj
     )
     lines = merge_update(
         lines, tag_vendor.filter(current).select("flow_tag", "final_disposition"), by_tag(lines),
-        {"vendor_flag": "final_disposition", "vendor_flag_hit": yes}, where=apj, small=True,
+        {"vendor_flag": "final_disposition", "vendor_flag_hit": yes}, where=apj
     )
     table = flag_rules.select("supplier", "repair_disposition", "repair_warranty_status", "final_disp_flag")
     west = F.col("region").isin("AME", "EMEA")
@@ -34,7 +34,7 @@ def _attach_lookups(lines: DataFrame, tag_flag: DataFrame, tag_vendor: DataFrame
             {"supplier": key, "repair_disposition": "repair_disposition",
              "repair_warranty_status": "repair_warranty_status"},
             {f"{name}_flag": F.col("src_final_disp_flag"), f"{name}_flag_hit": yes},
-            where=west & F.col(key).isin(*allowed), small=True,
+            where=west & F.col(key).isin(*allowed)
         )
     return lines
 
@@ -80,7 +80,7 @@ def final_disposition(
              "Logical Receipt"),
         rule(apj & (returned == "SC01"), "Scrap in Central"),
     ])
-    lines = merge_update(lines, code_remap, ["region", FLAG], {FLAG: "correct_disposition"}, small=True)
+    lines = merge_update(lines, code_remap, ["region", FLAG], {FLAG: "correct_disposition"})
     lines = rule_cascade(lines, [
         rule(west & (receipt == R.LOGICAL_RECEIPT) & (code == R.LOGICAL_CODE), "Logical Receipt"),
         rule((region != "APJ") & supplier.isin("RRD", "PCG") & (repair == "NFF") & physical, "NFF"),

@@ -71,10 +71,10 @@ def option_two(rest: DataFrame, adders: DataFrame | None, period: str, keys=KEYS
         own, others = adders_of(adders, period, S.previous_period(period))
         priced = merge_update(
             rest, own, ["region", "event_spl"],
-            {"own_rate": S.zero(F.col("src_non_nrs_rate").cast("double"))}, small=True,
+            {"own_rate": S.zero(F.col("src_non_nrs_rate").cast("double"))}
         )
         priced = merge_update(
-            priced, others, ["region"], {"other_rate": F.col("src_non_nrs_rate").cast("double")}, small=True
+            priced, others, ["region"], {"other_rate": F.col("src_non_nrs_rate").cast("double")}
         )
         adder = F.coalesce("own_rate", "other_rate")
         priced = priced.withColumn(TOTAL, qty * S.zero("event_pn_nrs") + qty * adder)

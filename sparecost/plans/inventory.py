@@ -65,7 +65,7 @@ def allocation_key(places: DataFrame, reserves: DataFrame, special_keys: DataFra
     )
     places = merge_update(
         places, special_keys.select("inv_plant_location", "special_alloc_key"), {"inv_plant_location": "mrp_area"},
-        {"special_alloc_key": "special_alloc_key"}, unmatched="null", small=True,
+        {"special_alloc_key": "special_alloc_key"}, unmatched="null"
     )
     plain = F.concat("subregion", F.lit("-"), F.col("type"))
     return places.withColumn("allocation_key", F.coalesce("special_alloc_key", plain))
@@ -78,8 +78,7 @@ def share(part: str, whole: str) -> Column:
 
 def _cube(places: DataFrame, cube: DataFrame, kind: str, out: str) -> DataFrame:
     costs = cube.filter(F.col("type") == kind).select("region_l2", F.col("spl").alias("support_product_line"), "adj_cube")
-    return merge_update(places, costs, ["region_l2", "support_product_line"], {out: F.col("src_adj_cube").cast("double")},
-                        small=True)
+    return merge_update(places, costs, ["region_l2", "support_product_line"], {out: F.col("src_adj_cube").cast("double")})
 
 
 def revaluation(places: DataFrame, values: DataFrame, cube: DataFrame) -> DataFrame:

@@ -199,7 +199,7 @@ def override_repairs(lines: DataFrame, patches: dict) -> DataFrame:
         lines = merge_update(
             lines, stacked.drop("turn"), by_tag(lines),
             {"repair_disposition": "repair_disposition", "repair_warranty_status": "repair_warranty_status"},
-            where=F.col("region") == region, on_duplicate="unique", small=True,
+            where=F.col("region") == region, on_duplicate="unique"
         )
     return lines
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import Pool, allocate_pool, broadcast_bounded, latest_per_key, merge_update, rate_by_group
+from sparecost.operators import Pool, allocate_pool, latest_per_key, merge_update, rate_by_group
 from sparecost.plans.link import by_tag, tag_in_use
 from sparecost.plans.standards import _add
 
@@ -108,7 +108,7 @@ def charge_by_tag(lines: DataFrame, charges: DataFrame, region: str, period: str
     return merge_update(
         _add(lines, ["nppo_cost"]), newest.select("flow_tag", "charge"), by_tag(lines),
         {"nppo_cost": F.col("src_charge").cast("double")}, where=F.col("region") == region,
-        on_duplicate="unique", small=True,
+        on_duplicate="unique"
     )
 
 
@@ -165,12 +165,12 @@ def part_charges(lines: DataFrame, charges: DataFrame, period: str, sums_from: D
         "vendor", S.safe_ratio("credit", "charged_qty").alias("unit_credit")
     )
     shared = F.col("vendor") == R.SHARED_CREDIT_VENDOR
-    units = rates.filter(F.col("__total") > 0).join(broadcast_bounded(unit_credit, credit), "vendor", "left").select(
+    units = rates.filter(F.col("__total") > 0).join(unit_credit, "vendor", "left").select(
         "vendor", "part_number",
         F.when(shared, F.col("__rate") + F.col("unit_credit")).otherwise(F.col("__rate")).alias("unit"),
     )
     return merge_update(
-        tagged, broadcast_bounded(units, per_part), on, {"nppo_cost": F.col("src_unit") * F.col(QTY)}, where=base, on_duplicate="unique"
+        tagged, units, on, {"nppo_cost": F.col("src_unit") * F.col(QTY)}, where=base, on_duplicate="unique"
     ).drop("__vendor")
 
 
@@ -191,7 +191,7 @@ def three_layers(
     lines = lines.withColumns({c: F.lit(None).cast("double") for c in ("tag_layer", "part_layer", "activity_layer")})
     lines = merge_update(
         lines, _period(tag_rates, period).select("repair_disposition", "rate"), ["repair_disposition"],
-        {"tag_layer": F.col("src_rate").cast("double") * F.col(QTY)}, where=base & used, small=True,
+        {"tag_layer": F.col("src_rate").cast("double") * F.col(QTY)}, where=base & used
     )
     lines = allocate_pool(
         lines, Pool(_period(part_level, period), {"part_number": "part_number"}, "charge"), QTY, "part_layer",
@@ -233,7 +233,7 @@ def _inventory_region(lines: DataFrame, countries: DataFrame) -> DataFrame:
     return merge_update(
         lines.withColumn("inv_region", F.when(F.col("region").isin("APJ", "EMEA"), F.col("region"))),
         countries.select("iso_country_code", "na_vs_la"), {"iso_country_code": "event_country_iso_cd"},
-        {"inv_region": "na_vs_la"}, where=F.col("region") == "AME", small=True,
+        {"inv_region": "na_vs_la"}, where=F.col("region") == "AME"
     )
 
 
@@ -270,17 +270,16 @@ def country_inventory(
         home.select("spl", "iso_country_code", "sub_region", "total_inv_cost"),
         {"spl": "event_spl", "iso_country_code": "event_country_iso_cd"},
         {"__sub": "sub_region", "__cost": F.col("src_total_inv_cost").cast("double")},
-        on_duplicate="unique", small=True,
+        on_duplicate="unique"
     )
     totals = keyed.filter(base & F.col("__sub").isNotNull()).groupBy("event_spl", "__sub").agg(
         S.exact_sum(DEMAND).alias("qty")
     )
-    bound = home.select("spl", "sub_region").distinct()
-    totals = bound.join(
+    totals = home.select("spl", "sub_region").distinct().join(
         totals.select(F.col("event_spl").alias("spl"), F.col("__sub").alias("sub_region"), "qty"), ["spl", "sub_region"]
     )
     keyed = merge_update(
-        keyed, broadcast_bounded(totals, bound), {"spl": "event_spl", "sub_region": "__sub"},
+        keyed, totals, {"spl": "event_spl", "sub_region": "__sub"},
         {"country_inv_costs": F.col("__cost") / F.nullif(F.col("src_qty"), F.lit(0.0)) * F.col(DEMAND)},
         where=base, on_duplicate="unique",
     ).drop("__sub", "__cost")

@@ -121,7 +121,7 @@ def part_age(lines: DataFrame, week_codes: DataFrame, mid_quarter: str) -> DataF
         lines, week_codes.select("week_code", "week_beginning"), {"week_code": F.substring(label, 10, 2)},
         {"mfg_date": F.col("src_week_beginning"),
          "part_age": (months.cast("double") / 12).cast("decimal(18,1)")},
-        where=scope, small=True,
+        where=scope
     )
 
 

@@ -37,17 +37,17 @@ def first_assignment(
         kind = F.when(S.not_blank("src_supplier_type"), F.col("src_supplier_type")).otherwise(F.lit("Repair"))
         lines = merge_update(
             lines, rfc_suppliers.select(F.col("l1_supplier_name").alias("name"), "supplier_type"),
-            {"name": "l1_supplier"}, {"supplier_type": kind}, where=F.col("region") == "APJ", small=True,
+            {"name": "l1_supplier"}, {"supplier_type": kind}, where=F.col("region") == "APJ"
         )
     found = {"l1_supplier": "l1_supplier_name", "supplier_type": "supplier_type"}
     lines = merge_update(
         lines, plant_supplier.select("received_plant", "region", "l1_supplier_name", "supplier_type"),
-        ["received_plant", "region"], {**found, "l1_supplier_source": F.lit("Received Plant")}, small=True,
+        ["received_plant", "region"], {**found, "l1_supplier_source": F.lit("Received Plant")}
     )
     return merge_update(
         lines, disposition_supplier.select("disposition", "region", "l1_supplier_name", "supplier_type"),
         {"disposition": F.coalesce("dcr_disposition", "actual_disposition"), "region": "region"},
-        {**found, "l1_supplier_source": F.lit("iReturns Disposition")}, small=True,
+        {**found, "l1_supplier_source": F.lit("iReturns Disposition")}
     )
 
 
@@ -90,11 +90,11 @@ def override_by_tag(lines: DataFrame, tag_vendor: DataFrame, tag_supplier: DataF
     current = F.col("data_period") == period
     lines = merge_update(
         lines, tag_vendor.filter(current).select("flow_tag", "final_vendor"), by_tag(lines),
-        {"l1_supplier": "final_vendor", "l2_supplier": "final_vendor"}, where=apj, small=True,
+        {"l1_supplier": "final_vendor", "l2_supplier": "final_vendor"}, where=apj
     )
     return merge_update(
         lines, tag_supplier.filter(current).select("flow_tag", "l1_supplier"), by_tag(lines),
-        {"l1_supplier": "l1_supplier"}, where=apj, small=True,
+        {"l1_supplier": "l1_supplier"}, where=apj
     )
 
 
@@ -112,7 +112,7 @@ def second_level(lines: DataFrame, l2_map: DataFrame, period: str) -> DataFrame:
     ).select("region", "l1_supplier", "l2_supplier", F.col("supplier_type").alias("kind"), F.lit(True).alias("mapped"))
     lines = merge_update(
         lines.withColumn("mapped", F.lit(False)), mapped, ["region", "l1_supplier"],
-        {"l2_supplier": "l2_supplier", "supplier_type": "kind", "mapped": "mapped"}, small=True,
+        {"l2_supplier": "l2_supplier", "supplier_type": "kind", "mapped": "mapped"}
     )
     stands = ~F.col("mapped") & F.col("region").isin("AME", "EMEA") & F.col("l1_supplier").isNotNull()
     return lines.withColumns({

@@ -1,4 +1,4 @@
-"""Session settings the jobs rely on; settings the caller made are kept."""
+"""Session settings the jobs rely on."""
 
 from __future__ import annotations
 

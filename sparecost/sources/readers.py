@@ -15,15 +15,6 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer parts than the cluster has cores, such as one unsplittable file.
-
-    A table of many files keeps its own splits and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_remote(
     spark: SparkSession, url: str, *, query: str | None = None, table: str | None = None,
     partition: tuple[str, object, object, int] | None = None, options: dict | None = None,

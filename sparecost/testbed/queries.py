@@ -108,17 +108,23 @@ plain("pick_b_over_a",
 RETURN_OUT = ("l2_reverse_unique_link_key", "received_month", "flow_tag", "actual_disposition", "ct_code_label", "received_plant", "receipt_type")
 
 
-def refresh(bed: Bed) -> DataFrame:
+def refresh(bed: Bed, returns: DataFrame) -> DataFrame:
     """Lines of one period get their return columns again; the other lines keep them."""
     lines = event_base(bed).withColumn("data_period", F.when(F.col("part_qty_demanded") > 25, F.lit(PERIOD)).otherwise(F.lit(PREVIOUS)))
-    fewer = bed["returns"].filter("match_fl = 'M'")
-    return show(base.refresh_returns(lines, fewer, PERIOD), KEY, *RETURN_OUT)
+    return show(base.refresh_returns(lines, returns, PERIOD), KEY, *RETURN_OUT)
 
 
-QUERIES["refresh_returns"] = Query(refresh, O.statement(BASE_INPUTS, [("b", O.BASE)], f"""
-SELECT b.unique_link_key, {', '.join(f'CASE WHEN b.part_qty_demanded > 25 THEN n.{c} ELSE b.{c} END AS {c}' for c in RETURN_OUT)}
-FROM b LEFT JOIN (SELECT e.unique_link_key, {O.RETURN_COLUMNS} FROM b e LEFT JOIN (SELECT * FROM returns WHERE match_fl = 'M') r
-ON e.unique_link_key = r.unique_link_key) n ON b.unique_link_key = n.unique_link_key"""))
+def refresh_sql(where: str) -> str:
+    new = dict(zip(RETURN_OUT, (
+        "r.unique_link_key", *map(O.b_over_a, ("received_month", "flow_tag_number", "actual_disposition", "received_part_serial_number",
+                                               "received_plant_id")), O.RECEIPT)))
+    picked = ", ".join(f"CASE WHEN b.part_qty_demanded > 25 THEN {new[c]} ELSE b.{c} END AS {c}" for c in RETURN_OUT)
+    return O.statement(BASE_INPUTS, [("b", O.BASE)], f"""
+SELECT b.unique_link_key, {picked} FROM b LEFT JOIN (SELECT * FROM returns WHERE {where}) r ON b.unique_link_key = r.unique_link_key""")
+
+
+QUERIES["refresh_returns"] = Query(lambda bed: refresh(bed, bed["returns"].filter("match_fl = 'M'")), refresh_sql("match_fl = 'M'"))
+QUERIES["refresh_all_returns"] = Query(lambda bed: refresh(bed, bed["returns"]), refresh_sql("TRUE"))
 
 REPAIR_OUT = ("repair_vendor", "repair_flow_tag", "repair_oem_name", "repair_disposition", "repair_warranty_status",
               "repair_upload_month", "repair_upload_date", "repair_tag_used", "repair_tat")

@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparecost.session import stage_end
-from sparecost.sources import read_table, spread_rows
+from sparecost.sources import read_table
 
 PERIOD = "1997Q1"
 PREVIOUS = "1996Q4"
 COST_MONTH = "199701"
-LARGE = ("lineitem", "events")
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -457,8 +456,7 @@ class Bed:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             if name in BASE_TABLES:
-                table = read_table(self.spark, self.directory, name)
-                self._made[name] = spread_rows(table) if name in LARGE else table
+                self._made[name] = read_table(self.spark, self.directory, name)
             else:
                 used = [n for n in (*BASE_TABLES, *_SOURCES) if "{" + n + "}" in _SOURCES[name]]
                 self._made[name] = self.spark.sql(_SOURCES[name], **{n: self[n] for n in used})

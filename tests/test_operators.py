@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparecost.operators import (
-    Pool, Rule, Step, allocate_pool, broadcast_checked, latest_per_key, merge_update, rule_cascade, waterfall_lookup, with_spread,
+    Pool, Rule, Step, allocate_pool, latest_per_key, merge_update, rule_cascade, waterfall_lookup, with_spread,
 )
 
 
@@ -80,10 +80,10 @@ def test_pool_is_spread_whole_and_skips_empty_bases(spark):
     assert ("d", 0.0) in rows(zero, "unique_link_key", "out")
 
 
-def test_large_source_is_not_broadcast(spark):
-    small, large = spark.range(5), spark.range(50)
-    assert "ResolvedHint" in broadcast_checked(small, 10)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_checked(large, 10)._jdf.queryExecution().analyzed().toString()
+def test_merge_forces_no_broadcast(spark):
+    df = merge_update(spark.range(50).withColumn("v", F.lit(0)), spark.range(5).withColumn("w", F.lit(1)), ["id"], {"v": "w"})
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+    assert df.agg(F.sum("v")).first()[0] == 5
 
 
 def test_null_keys_spread_over_partitions(spark):

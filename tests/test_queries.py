@@ -6,11 +6,12 @@ import pytest
 from compare import compare, database
 
 import __spark_entry__ as entry_points
-from sparecost.testbed.queries import QUERIES
+from sparecost.testbed.queries import QUERIES, refresh
+from sparecost.testbed.standins import BASE_TABLES, Bed
 
 DIRECTORY = "/root/testdata/sf0.001"
 CHOSEN = (
-    "event_base", "refresh_returns", "repair_link", "latest_repair", "rma_link", "override_patch", "l1_supplier", "vendor_waterfall",
+    "event_base", "refresh_returns", "refresh_all_returns", "repair_link", "latest_repair", "rma_link", "override_patch", "l1_supplier", "vendor_waterfall",
     "l2_supplier_default", "final_disposition", "standard_cost_waterfall", "avg_repair_full_outer", "cons_cost_first", "cons_cost_final",
     "part_age", "scrap_alloc", "per_part_vendor_charge", "three_layer_charge", "country_inventory", "tax_alloc", "virtual_credit",
     "contract_credits", "orphan_credit", "inv_trueup_alloc", "interim_total", "archive_period", "reload_days", "reconcile",
@@ -33,4 +34,24 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) <= set(entry_points.oracle_sql())
+
+
+def test_two_returns_of_one_key_fail(spark):
+    bed = Bed(spark, DIRECTORY)
+    with pytest.raises(Exception, match="two source rows for key"):
+        refresh(bed, bed["returns"].union(bed["returns"])).collect()
+
+
+@pytest.mark.parametrize("name", ("final_disposition", "contract_credits", "tax_alloc", "interim_total"))
+def test_no_job_starts_while_a_plan_is_built(spark, name):
+    """Files are opened for their schema by jobs of their own, so tables are read before."""
+    bed, tracker = Bed(spark, DIRECTORY), spark.sparkContext.statusTracker()
+    for table in BASE_TABLES:
+        bed[table]
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        QUERIES[name].run(bed)
+        assert not tracker.getJobIdsForGroup(name)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
