@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 
 from sparecost.llm.chat import link_quotes
 from sparecost.llm.common import table
+from sparecost.llm.conversation_repair import repair_damaged
 from sparecost.llm.exact_dedup import exact_dedup
 from sparecost.llm.jaccard_join import jaccard_components
 from sparecost.llm.lattice import sentencepiece_check
+from sparecost.llm.oracle import SQL
 from sparecost.llm.packing import pack_documents
 from sparecost.llm.phrase_dedup import phrase_dedup
+from sparecost.llm.positional_index import contamination
 from sparecost.llm.quality_cnn import quality_scores
 from sparecost.llm.quality_rules import quality_rules
+from sparecost.llm.resampling import resample
 from sparecost.llm.sharding import shard_documents
 from sparecost.llm.suffix_dedup import suffix_dedup
 
@@ -62,16 +66,25 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items, "contaminated")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), buckets=10_000, seed=7, percent=25, min_words=20)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_jaccard_join, op2_sharding, op3_sentencepiece, op4_suffix_dedup, op5_exact_dedup, op6_quality_rules,
-        op7_best_fit_packing, op8_chat_formatting, op9_phrase_dedup, op10_quality_classifier)
+        op7_best_fit_packing, op8_chat_formatting, op9_phrase_dedup, op10_quality_classifier, op11_decontamination,
+        op12_importance_resampling, op13_conversation_repair)
 }
 
-SQL: dict[str, str] = {
-    "op5_exact_dedup": """
-WITH norm AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
-SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
-FROM norm WINDOW w AS (PARTITION BY t)
-""",
-}
+__all__ = ["QUERIES", "SQL"]
