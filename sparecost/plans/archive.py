@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparecost.sources.writers import overwrite_period
+from sparecost.sources import Published
 
+# fixed value: the output layout
 ARCHIVE_COLUMNS = (
     "unique_link_key", "master_event_activity_month", "source_system", "region", "master_event_number",
     "event_number", "event_country_iso_cd", "part_qty_demanded", "event_hwpl", "part_number", "part_actual_sl",
@@ -28,9 +33,22 @@ ARCHIVE_COLUMNS = (
 )
 
 
-def archive_period(lines: DataFrame, path: str, period: str, as_text: tuple[str, ...] = ()) -> None:
-    """Replace the period in the history table. as_text: columns an older archive layout keeps as text."""
-    wanted = lines.select(*[
-        lines[c].cast("string").alias(c) if c in as_text else lines[c] for c in ARCHIVE_COLUMNS
-    ])
-    overwrite_period(wanted, path, period)
+PERIOD_COLUMN = "data_period"
+
+
+def archive_period(lines: DataFrame, history: Published, period: str, as_text: Iterable[str] = ()) -> int:
+    """Replace the period in the history, in one commit. as_text: columns that an older layout keeps as text.
+
+    Each period keeps the layout it was written in; `read_history` brings them together. Returns the number of rows.
+    """
+    as_text = set(as_text)
+    wanted = lines.select(*[lines[c].cast("string").alias(c) if c in as_text else lines[c] for c in ARCHIVE_COLUMNS])
+    return history.replace(wanted.withColumn(PERIOD_COLUMN, F.lit(period)), [period])
+
+
+def read_history(history: Published, schema: T.StructType | None = None) -> DataFrame:
+    """All periods as one table in the types of the newest layout, or in those given.
+
+    Text of an older layout is cast; a value that does not fit fails the job. A column that an older layout lacks is null.
+    """
+    return history.read(schema=schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparecost import rules as R
 from sparecost.functions import semantics as S
 from sparecost.operators import merge_update
+from sparecost.sources import Published
 
 KEYS = R.Options().interim_keys
 COMPONENTS = {
@@ -100,6 +101,16 @@ def interim_costs(history: DataFrame, adders: DataFrame | None, period: str, key
     return finish([*first, second], period)
 
 
+def publish_interim(history: DataFrame, adders: DataFrame | None, period: str, table: Published, keys=KEYS) -> int:
+    """Replace the estimate of one quarter, under the label derived from it and the quarter before; other labels stay.
+
+    `history` may be read from the same table: its snapshot stays readable while the label is replaced.
+    """
+    label = interim_label(period)
+    costs = interim_costs(history, adders, period, keys).withColumn(table.column, F.lit(label))
+    return table.replace(costs, [label])
+
+
 def finish(parts: list[DataFrame], period: str) -> DataFrame:
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     amounts = [c for c in (*COMPONENTS, TOTAL) if c in union.columns]

@@ -11,7 +11,7 @@ from sparecost.plans.base import event_base
 from sparecost.plans.disposition import final_disposition
 from sparecost.plans.link import TAG_KEY, link
 from sparecost.plans.supplier import assign_suppliers
-from sparecost.session import stage_end
+from sparecost.session import Stages
 
 INPUTS = (
     "service_events", "part_master", "product_lines", "returns", "activity", "repairs", "dc_returns", "rma",
@@ -94,14 +94,26 @@ def totalled(lines: DataFrame, inputs: dict[str, DataFrame], period: R.Period) -
 
 
 def run_quarter(
-    inputs: dict[str, DataFrame], period: R.Period | None = None, options: R.Options | None = None
+    inputs: dict[str, DataFrame], period: R.Period | None = None, options: R.Options | None = None, stages: Stages | None = None
 ) -> DataFrame:
     """Cost the lines of one quarter. Stages are cut where the next one reads its input more than once
-    (every allocation sums the lines before it joins them), on storage that outlives an executor."""
+    (every allocation sums the lines before it joins them), on storage that outlives an executor.
+
+    stages: where the cuts are kept. Given by the caller, as `with Stages(spark, "2017Q1", basis(...)) as stages`, a run
+    that failed continues from its last finished cut, and the cuts are deleted once the caller has written the result.
+    """
     period, options = period or R.Period(), options or R.Options()
-    lines = stage_end(linked(inputs, period))
-    lines = stage_end(classified(lines, inputs, period, options))
-    lines = stage_end(costed(lines, inputs, period))
-    lines = stage_end(charged(lines, inputs, period))
-    lines = stage_end(credited(lines, inputs, period, options))
+    stages = stages or Stages(next(iter(inputs.values())).sparkSession)
+    lines = stages.end("linked", lambda: linked(inputs, period))
+    steps = {
+        "classified": lambda df: classified(df, inputs, period, options), "costed": lambda df: costed(df, inputs, period),
+        "charged": lambda df: charged(df, inputs, period), "credited": lambda df: credited(df, inputs, period, options),
+    }
+    for name, step in steps.items():
+        lines = stages.end(name, lambda step=step, lines=lines: step(lines))
     return totalled(lines, inputs, period).drop(TAG_KEY)
+
+
+def basis(inputs: dict[str, DataFrame], period: R.Period, options: R.Options) -> tuple:
+    """What the stages of a run depend on, for `Stages`. New rows in an input are not seen: such a run takes a new name."""
+    return period, options, sorted((name, df.schema.json()) for name, df in inputs.items())

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,15 +19,23 @@ _DEFAULTS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
+_TIME_ZONE = "spark.sql.session.timeZone"
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set what the jobs rely on, but for keys that the caller has set; results need the time zone, so it is always set."""
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
     for key, value in _DEFAULTS.items():
-        if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) != value:
+        if key == _TIME_ZONE or (key not in given and not _changed(spark, key)):
             spark.conf.set(key, value)
     return spark
 
 
+def _changed(spark: SparkSession, key: str) -> bool:
+    """Whether the session has a value of its own for a key."""
+    return spark._jsparkSession.sessionState().conf().contains(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's setting, else one for this local run."""
     context = spark.sparkContext
@@ -48,4 +58,42 @@ def stage_end(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Stages:
+    """The stored stages of one run. A run that failed continues behind its last finished stage.
+
+    A stage is finished once the writer has put its success mark. Stages of a run are found again by the name of the run
+    and by what it was made from (`basis`: parameters, and the schemas of the inputs): with another basis they start anew. Leave the
+    `with` block after the result is written: without an error the stages are deleted, with one they stay.
+    """
+
+    def __init__(self, spark: SparkSession, run: str | None = None, basis: object = ""):
+        digest = hashlib.sha256(repr(basis).encode()).hexdigest()[:16]
+        self.spark, self.resumed, self.path = spark, [], f"{checkpoint_dir(spark)}/run-{run or uuid.uuid4().hex}-{digest}"
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is None:
+            self.clear()
+
+    def _at(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _fs(self):
+        return self._at("x").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def clear(self) -> None:
+        self._fs().delete(self._at("."), True)
+
+    def end(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The stage `name`: read if an earlier run has finished it, else built, written and read."""
+        path = f"{self.path}/{name}"
+        if self._fs().exists(self._at(f"{name}/_SUCCESS")):
+            self.resumed.append(name)
+        else:
+            build().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)

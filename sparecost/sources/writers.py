@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparecost.operators import merge_update
+from sparecost.sources.published import Published, counted
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def full_refresh(df: DataFrame, table: Published) -> int:
+    """Replace a whole table by rows that may be read from it; readers see the old one until the new one is complete."""
+    return table.refresh(df)
 
 
 def stamp_period(df: DataFrame, period: str, column: str = "data_period") -> DataFrame:
@@ -21,20 +23,18 @@ def stamp_period(df: DataFrame, period: str, column: str = "data_period") -> Dat
     return df.withColumn(column, F.lit(period))
 
 
-def overwrite_period(df: DataFrame, path: str, period: str, column: str = "data_period") -> None:
-    """Replace one period of a table partitioned by period; the other periods stay.
+def overwrite_period(df: DataFrame, path: str, period: str, column: str = "data_period") -> int:
+    """Replace one period of a table partitioned by period; the other periods stay. Returns the number of rows.
 
-    The new files are committed before the old partition goes. A period that became empty is
-    replaced by an empty partition. Files are rebalanced so that no task writes a huge or tiny one.
+    The plan runs once: rows are counted while they are written. The new files are committed before the old partition
+    goes; only a period without any rows takes a second, empty write. Files are rebalanced so that no task writes a huge
+    or tiny one. For readers that must never meet a half-replaced table there is `Published.replace`.
     """
-    stamped = df.withColumn(column, F.lit(period))
-    if df.isEmpty():
-        df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={period}")
-        return
-    (
-        stamped.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column).parquet(path)
-    )
+    rows, count = counted(df.withColumn(column, F.lit(period)))
+    rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    if not count():
+        df.drop(column).limit(0).write.mode("overwrite").parquet(f"{path}/{column}={period}")
+    return count()
 
 
 def replace_window(existing: DataFrame, incoming: DataFrame, time: str, first: Column, last: Column) -> DataFrame:
@@ -45,24 +45,16 @@ def replace_window(existing: DataFrame, incoming: DataFrame, time: str, first: C
     return outside.unionByName(incoming.filter(inside).distinct())
 
 
-def reload_window(incoming: DataFrame, path: str, time: str, first: str, last: str, column: str = "day") -> None:
-    """Replace the days first..last of a table partitioned by day with the distinct incoming rows.
+def reload_window(incoming: DataFrame, table: Published, time: str, first: str, last: str) -> int:
+    """Replace the days first..last of a table published by day with the distinct incoming rows, in one commit.
 
-    Days of the window without incoming rows become empty; days outside are not touched.
+    All days of the window change together: days without incoming rows become empty, days outside are not touched, and a
+    job that fails leaves the old window. Returns the number of rows.
     """
     day = F.to_date(F.col(time))
-    fresh = incoming.filter(day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))).distinct()
-    fresh = fresh.withColumn(column, day.cast("string"))
-    start, days = date.fromisoformat(first), (date.fromisoformat(last) - date.fromisoformat(first)).days
-    filled = {row[0] for row in fresh.select(column).distinct().collect()}
-    empty = [d for d in (str(start + timedelta(n)) for n in range(days + 1)) if d not in filled]
-    if filled:
-        (
-            fresh.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column).parquet(path)
-        )
-    for missing in empty:
-        fresh.drop(column).limit(0).write.mode("overwrite").parquet(f"{path}/{column}={missing}")
+    start, end = date.fromisoformat(first), date.fromisoformat(last)
+    fresh = incoming.filter(day.between(F.lit(start), F.lit(end))).distinct().withColumn(table.column, day.cast("string"))
+    return table.replace(fresh, [str(start + timedelta(n)) for n in range((end - start).days + 1)])
 
 
 def backfill(history: DataFrame, staging: DataFrame, key: str, columns: list[str]) -> DataFrame:

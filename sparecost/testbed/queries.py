@@ -14,9 +14,9 @@ from sparecost import rules as R
 from sparecost import sources
 from sparecost.functions import semantics as S
 from sparecost.operators import latest_per_key, merge_update
-from sparecost.plans import base, checks, consumption, credits, disposition, interim, inventory, link, pools, quarter, standards, supplier
+from sparecost.plans import archive, base, checks, consumption, credits, disposition, interim, inventory, link, pools, quarter, standards, supplier
 from sparecost.plans.archive import ARCHIVE_COLUMNS
-from sparecost.session import checkpoint_dir
+from sparecost.session import Stages, checkpoint_dir
 from sparecost.testbed import oracle as O
 from sparecost.testbed.standins import COST_MONTH, PERIOD, PREVIOUS, Bed, ctes
 
@@ -240,8 +240,13 @@ plain("scrap_audit", lambda bed: pools.scrap_audit(bed["lines"], pools.scrap_val
       JOIN ({O.VALUED}) v ON d.region = v.region AND d.part_number = v.material AND v.data_period = {O.P}""")
 pool("pool_by_supplier", lambda lines, s: pools.charge_by_supplier(lines, s, PERIOD), NPPO, ("supplier_spend",), O.by_supplier)
 pool("pooled_suppliers", lambda lines, s: pools.pooled_suppliers(lines, s, PERIOD), NPPO, ("supplier_spend",), O.pooled)
-pool("charge_by_tag", lambda lines, c: pools.charge_by_tag(lines, c.filter("region = 'AME'").drop("region"), "AME", PERIOD), NPPO,
-     ("tag_charges",), O.by_tag("AME"))
+def charge_by_tag(lines: DataFrame, charges: DataFrame) -> DataFrame:
+    for region in ("AME", "EMEA"):
+        lines = pools.charge_by_tag(lines, charges.filter(F.col("region") == region).drop("region"), region, PERIOD)
+    return lines
+
+
+pool("charge_by_tag", charge_by_tag, NPPO, ("tag_charges",), O.by_tag("AME"), O.by_tag("EMEA"))
 pool("semi_join_pool", lambda lines, v: pools.top_vendors(lines, v, PERIOD), NPPO, ("top_vendors",), O.top_vendors)
 pool("restricted_pool", lambda lines, v: pools.restricted_vendor(lines, v, PERIOD), NPPO, ("top_vendors",), O.restricted)
 pool("per_part_vendor_charge", lambda lines, c: pools.part_charges(lines, c, PERIOD), NPPO, ("part_charges",), O.part_charges)
@@ -325,6 +330,23 @@ on_base("full_quarter", lambda bed: quarter.run_quarter(inputs_of(bed), RUN), RU
         O.final_disposition, *COST_STEPS, *CHARGE_STEPS, *CREDIT_STEPS, *TOTAL_STEPS)
 
 
+def archive_quarter(bed: Bed) -> DataFrame:
+    """A costed quarter archived twice beside an older one that keeps all but text columns as text; both read as one table."""
+    history = sources.Published(bed.spark, scratch(bed, "history"), "data_period")
+    with Stages(bed.spark) as stages:
+        lines = stages.end("costed-lines", lambda: quarter.run_quarter(inputs_of(bed), RUN, stages=stages))
+        as_text = [f.name for f in lines.schema.fields if not isinstance(f.dataType, T.StringType)]
+        archive.archive_period(lines, history, PREVIOUS, as_text)
+        archive.archive_period(lines.withColumn("taxes", F.lit(0).cast(S.MONEY)), history, PERIOD)
+        archive.archive_period(lines, history, PERIOD)
+    return show(archive.read_history(history), *ARCHIVE_COLUMNS, "data_period")
+
+
+_QUARTER = QUERIES["full_quarter"].sql
+QUERIES["archive_quarter"] = Query(archive_quarter, f"""
+WITH run AS ({_QUARTER}) SELECT *, {O.P} AS data_period FROM run UNION ALL SELECT *, '{PREVIOUS}' AS data_period FROM run""")
+
+
 def flagship(bed: Bed) -> DataFrame:
     """Event base, receipt type and allocated variance, totalled by region and product line."""
     lines = pools.variance(event_base(bed), bed["variance_actuals"], PERIOD)
@@ -344,22 +366,89 @@ def scratch(bed: Bed, name: str) -> str:
     return f"{checkpoint_dir(bed.spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# neighbouring quarters of the mid-run lines; brand and size stand for the part so that keys recur
+HISTORY_SQL = """SELECT * REPLACE (event_spl || '-' || COALESCE(part_spl, '') AS part_number,
+  CASE WHEN substr(data_period, 6) IN ('1', '3') THEN '1997Q1' ELSE '1996Q4' END AS data_period) FROM lines"""
+
+
+def history(bed: Bed) -> DataFrame:
+    return bed["lines"].withColumns({
+        "part_number": F.concat("event_spl", F.lit("-"), F.coalesce("part_spl", F.lit(""))),
+        "data_period": F.when(F.substring("data_period", 6, 1).isin("1", "3"), F.lit(PERIOD)).otherwise(F.lit(PREVIOUS)),
+    })
+
+
 HISTORY = (KEY, "region", "part_number", "part_qty_consumed", "total_matl_cost")
 
 
 def archive_period(bed: Bed) -> DataFrame:
-    """Write two quarters, replace one of them by corrected lines, and read the table back."""
+    """All lines in two quarters: write both, replace one by corrected lines, and read the table back."""
     path = scratch(bed, "archive")
-    lines = bed["lines"].select(*HISTORY, "data_period")
-    for quarter_, factor in (("1996Q4", 1), (PERIOD, 1), (PERIOD, 2)):
-        rows = lines.filter(F.col("data_period") == quarter_).withColumn("total_matl_cost", F.col("total_matl_cost") * factor)
-        sources.overwrite_period(rows, path, quarter_)
+    lines = history(bed).select(*HISTORY, "data_period")
+    for period, factor in ((PREVIOUS, 1), (PERIOD, 1), (PERIOD, 2)):
+        rows = lines.filter(F.col("data_period") == period).withColumn("total_matl_cost", F.col("total_matl_cost") * factor)
+        sources.overwrite_period(rows, path, period)
     return bed.spark.read.schema(lines.schema).parquet(path)
 
 
 plain("archive_period", archive_period, ("lines",), f"""SELECT unique_link_key, region, part_number, CAST(part_qty_consumed AS BIGINT) AS part_qty_consumed,
-floor((total_matl_cost * CASE WHEN data_period = {O.P} THEN 2 ELSE 1 END) * 10000.0e0 + 0.5e0) / 10000.0e0 AS total_matl_cost, data_period FROM lines
-WHERE data_period IN ('1996Q4', {O.P})""")
+floor((total_matl_cost * CASE WHEN data_period = {O.P} THEN 2 ELSE 1 END) * 10000.0e0 + 0.5e0) / 10000.0e0 AS total_matl_cost, data_period FROM history""",
+      [("history", HISTORY_SQL)])
+
+
+def recreated(bed: Bed) -> DataFrame:
+    """A table dropped and made anew with other columns; who read the old one still does."""
+    table = sources.Published(bed.spark, scratch(bed, "recreated"))
+    sources.full_refresh(bed["repairs"].select("repair_id", "flow_tag", "value"), table)
+    old = table.read()
+    table.drop()
+    sources.full_refresh(old.join(bed["repairs"].select("repair_id", "record_status"), "repair_id").drop("value"), table)
+    return table.read()
+
+
+plain("drop_recreate", recreated, ("repairs",), "SELECT repair_id, flow_tag, record_status FROM repairs")
+
+
+def refreshed(bed: Bed) -> DataFrame:
+    """A full refresh that reads its own target: values of valid repairs are doubled twice."""
+    table = sources.Published(bed.spark, scratch(bed, "refreshed"))
+    sources.full_refresh(bed["repairs"].select("repair_id", "record_status", "value"), table)
+    for _ in range(2):
+        doubled = F.when(F.col("record_status") == "Valid", F.col("value") * 2).otherwise(F.col("value"))
+        sources.full_refresh(table.read().withColumn("value", doubled), table)
+    return table.read()
+
+
+plain("refresh_own_target", refreshed, ("repairs",), f"""SELECT repair_id, record_status,
+{O.rounded("CASE WHEN record_status = 'Valid' THEN value * 4 ELSE value END")} AS value FROM repairs""")
+
+
+def landed(bed: Bed) -> DataFrame:
+    """Returns land in two hops: the first landing lacks a month in the middle and some late rows, the second has all."""
+    zone, target = (sources.Published(bed.spark, scratch(bed, n), "received_month") for n in ("landing", "filtered"))
+    rows = base.return_columns(bed["returns"]).select(KEY, "received_month", "flow_tag", "receipt_type")
+    late = (F.col("received_month") == "199703") | ((F.col("received_month") == "199605") & F.col(KEY).endswith("7"))
+    sources.land(rows.filter(~late), zone)
+    sources.advance(zone, target, "199511")
+    sources.land(rows, zone)
+    again = [sources.advance(zone, target, "199511") for _ in range(2)]
+    if again != [["199605", "199703"], []]:
+        raise ValueError(f"months taken: {again}")
+    return target.read()
+
+
+plain("landing_filtered", landed, ("returns",), f"""SELECT * FROM (SELECT unique_link_key, {O.b_over_a('received_month')} AS received_month,
+{O.b_over_a('flow_tag_number')} AS flow_tag, {O.RECEIPT} AS receipt_type FROM returns r) WHERE received_month >= '199511'""")
+
+
+def stamped(bed: Bed) -> DataFrame:
+    """A period column added to all lines, then set where a load left it empty."""
+    rows = bed["lines"].select(KEY, "region")
+    first = sources.stamp_period(rows, PREVIOUS).withColumn("data_period", F.when(F.col("region") != "APJ", F.col("data_period")))
+    return sources.stamp_period(first, PERIOD)
+
+
+plain("stamp_period", stamped, ("lines",), f"""SELECT unique_link_key, region, CASE WHEN region <> 'APJ' THEN '{PREVIOUS}' ELSE {O.P} END AS data_period FROM lines""")
 
 
 def rolling_reload(bed: Bed) -> DataFrame:
@@ -376,13 +465,13 @@ WHERE NOT inside OR record_status <> 'Invalid'""")
 
 
 def reload_days(bed: Bed) -> DataFrame:
-    """The same through a table partitioned by day."""
-    path = scratch(bed, "repairs")
+    """The same through a table published by day: all days of the window in one commit, one of them empty."""
+    table = sources.Published(bed.spark, scratch(bed, "repairs"), "day")
     rows = bed["repairs"].select("repair_id", "upload_date", "value")
-    rows.withColumn("value", F.lit(0.0)).withColumn("day", F.to_date("upload_date").cast("string")).write.partitionBy("day").parquet(path)
+    sources.full_refresh(rows.withColumn("value", F.lit(0.0)).withColumn("day", F.to_date("upload_date").cast("string")), table)
     incoming = rows.filter(F.to_date("upload_date") != F.lit("2024-01-08").cast("date"))
-    sources.reload_window(incoming.unionByName(incoming), path, "upload_date", "2024-01-06", "2024-01-12")
-    return bed.spark.read.schema("repair_id long, upload_date timestamp, value double, day string").parquet(path).drop("day")
+    sources.reload_window(incoming.unionByName(incoming), table, "upload_date", "2024-01-06", "2024-01-12")
+    return table.read().drop("day")
 
 
 plain("reload_days", reload_days, ("repairs",), """SELECT repair_id, upload_date, floor((CASE WHEN CAST(upload_date AS DATE) BETWEEN DATE '2024-01-06'
@@ -390,17 +479,20 @@ AND DATE '2024-01-12' THEN value ELSE 0.0 END) * 10000.0e0 + 0.5e0) / 10000.0e0
 
 
 def union_months(bed: Bed) -> DataFrame:
-    """One table per month, written and read back as one; the month comes from the table's name."""
+    """One table per month, as another system leaves them, beside one with another name; all read as one."""
     path = scratch(bed, "months")
-    cost = bed["contract_cost"].select("region", "part_no", "vendor_no", "contract_cost", "month")
-    for month in ("200001", "200002", "200003"):
-        cost.filter(F.col("month") == month).drop("month").write.parquet(f"{path}/COST_{month}.parquet")
-    cost.filter(F.col("month") == "200004").drop("month").write.parquet(f"{path}/COST_OLD.parquet")
+    # the names of month tables begin with 20, the benchmark's months with 19
+    cost = bed["contract_cost"].select("region", "part_no", "vendor_no", "contract_cost", (F.col("month").cast("int") + 1000).cast("string").alias("month"))
+    cost.withColumn("m", F.col("month")).drop("month").hint("rebalance", F.col("m")).write.partitionBy("m").parquet(path)
+    folder, jvm = sources.Folder(bed.spark, path), bed.spark.sparkContext._jvm
+    for name in folder.names():
+        if name.startswith("m="):
+            folder._fs().rename(folder._at(name), jvm.org.apache.hadoop.fs.Path(f"{path}/COST_{name[2:]}.parquet"))
+    cost.drop("month").limit(5).write.parquet(f"{path}/COST_OLD.parquet")
     return sources.recode_regions(sources.read_months(bed.spark, path, "COST"))
 
 
-plain("union_months", union_months, ("contract_cost",), f"""SELECT region, part_no, vendor_no, {num('contract_cost')}, month FROM contract_cost
-WHERE month IN ('200001','200002','200003')""")
+plain("union_months", union_months, ("contract_cost",), f"SELECT region, part_no, vendor_no, {num('contract_cost')}, CAST(CAST(month AS INT) + 1000 AS VARCHAR) AS month FROM contract_cost")
 
 
 def strict_load(bed: Bed) -> DataFrame:
@@ -412,9 +504,9 @@ def strict_load(bed: Bed) -> DataFrame:
 
 
 plain("strict_load", strict_load, (), f"SELECT l_orderkey AS order_number, {num('l_quantity').replace('AS l_quantity', 'AS quantity')}, l_shipdate AS shipped, l_returnflag AS flag FROM lineitem")
-plain("append_years", lambda bed: sources.append_tables(bed["rma"].filter("year(container_release) = 1996"), bed["rma"].filter("year(container_release) = 1997"))
+plain("append_years", lambda bed: sources.append_tables(bed["rma"].filter("year(container_release) < 1997"), bed["rma"].filter("year(container_release) >= 1997"))
       .select("flow_tag", "part_number", "vendor_code", "container_release"), ("rma",),
-      "SELECT flow_tag, part_number, vendor_code, container_release FROM rma WHERE year(container_release) IN (1996, 1997)")
+      "SELECT flow_tag, part_number, vendor_code, container_release FROM rma WHERE container_release IS NOT NULL")
 
 
 def history_backfill(bed: Bed) -> DataFrame:
@@ -488,18 +580,6 @@ plain("inv_trueup_alloc", lambda bed: inventory_model(bed).select(*PLACE, "true_
 
 IKEYS = ("region", "part_number", "warranty_flag", "dmr_status")
 COMPONENTS = ("cons_cost", "nppo_cost", "relabel_cost", "dekit_cost", "taxes")
-# neighbouring quarters of the mid-run lines; brand and size stand for the part so that keys recur
-HISTORY_SQL = """SELECT * REPLACE (event_spl || '-' || COALESCE(part_spl, '') AS part_number,
-  CASE WHEN substr(data_period, 6) IN ('1', '3') THEN '1997Q1' ELSE '1996Q4' END AS data_period) FROM lines"""
-
-
-def history(bed: Bed) -> DataFrame:
-    return bed["lines"].withColumns({
-        "part_number": F.concat("event_spl", F.lit("-"), F.coalesce("part_spl", F.lit(""))),
-        "data_period": F.when(F.substring("data_period", 6, 1).isin("1", "3"), F.lit(PERIOD)).otherwise(F.lit(PREVIOUS)),
-    })
-
-
 def _option_sql(number: int, keys: tuple[str, ...], components: bool = True, guard: bool = True) -> str:
     scope = "part_qty_consumed > 0" if number == 0 else "part_qty_consumed = 0 AND part_qty_demanded > 0"
     qty = "part_qty_consumed" if number == 0 else "part_qty_demanded"
@@ -573,6 +653,28 @@ plain("interim_without_dmr", lambda bed: interim.interim_costs(history(bed), bed
 plain("interim_first_version", lambda bed: interim.interim_costs(history(bed), None, PERIOD, components=False, null_as_zero=False), ("lines",),
       _interim_select(IKEYS, False), _interim_parts(IKEYS, False, False, False))
 
+def interim_label(bed: Bed) -> DataFrame:
+    """A label replaced twice in a table that also holds another label, both quarters being read from a published history."""
+    quarters = sources.Published(bed.spark, scratch(bed, "quarters"), "data_period")
+    table = sources.Published(bed.spark, scratch(bed, "interim"), "interim_period")
+    quarters.refresh(history(bed))
+    older = interim.interim_costs(history(bed), None, PERIOD, components=True).withColumn("interim_total", F.lit(1).cast(S.MONEY))
+    both = [older.withColumn("interim_period", F.lit(label)) for label in ("1996Q3-1996Q4", interim.interim_label(PERIOD))]
+    table.refresh(both[0].unionByName(both[1].filter("interim_option = 'Option 2'")))
+    for _ in range(2):
+        interim.publish_interim(quarters.read(), bed["cost_adders"], PERIOD, table)
+    return table.read().groupBy("interim_period", "interim_option", "region").agg(
+        F.count(F.lit(1)).alias("line_count"), S.exact_sum("interim_total").alias("interim_total"), S.exact_sum("interim_total_non_event").alias("non_event"))
+
+
+_ROLLED = _interim_select(IKEYS)
+plain("interim_label", interim_label, ("lines", "cost_adders"), f"""SELECT interim_period, interim_option, region, COUNT(*) AS line_count,
+{O.rounded(O.dec('interim_total'))} AS interim_total, {O.rounded(O.dec('interim_total_non_event'))} AS non_event
+FROM (SELECT interim_period, interim_option, region, interim_total, interim_total_non_event FROM rolled UNION ALL
+SELECT '1996Q3-1996Q4', interim_option, region, 1.0, interim_total_non_event FROM older) GROUP BY ALL""",
+      [*_interim_parts(IKEYS), ("rolled", _ROLLED), ("three_plain", _two_sql(IKEYS, False)),
+       ("older", _ROLLED.replace("FROM three)", "FROM three_plain)"))])
+
 # ---- checks ----------------------------------------------------------------------------------------------------------
 
 CHECK = f"""SELECT e.region, e.master_event_activity_month AS month, h.spl AS event_spl, CAST(SUM(e.part_qty_consumed) AS BIGINT) AS cons_qty,

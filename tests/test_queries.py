@@ -15,7 +15,8 @@ CHOSEN = (
     "l2_supplier_default", "final_disposition", "standard_cost_waterfall", "avg_repair_full_outer", "cons_cost_first", "cons_cost_final",
     "part_age", "scrap_alloc", "per_part_vendor_charge", "three_layer_charge", "country_inventory", "tax_alloc", "virtual_credit",
     "contract_credits", "orphan_credit", "inv_trueup_alloc", "interim_total", "archive_period", "reload_days", "reconcile",
-    "duplicate_tags", "event_preview",
+    "duplicate_tags", "event_preview", "archive_quarter", "interim_label", "landing_filtered", "drop_recreate", "refresh_own_target", "stamp_period",
+    "union_months", "charge_by_tag",
 )
 
 

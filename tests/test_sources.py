@@ -34,10 +34,3 @@ def test_strict_load_fails_on_bad_or_long_values(spark):
 def test_remote_needs_one_source(spark):
     with pytest.raises(ValueError):
         sources.read_remote(spark, "jdbc:none", query="SELECT 1", table="t")
-
-
-def test_full_refresh_replaces(spark, tmp_path):
-    path = str(tmp_path / "t")
-    sources.full_refresh(spark.range(5), path)
-    sources.full_refresh(spark.range(2), path)
-    assert spark.read.parquet(path).count() == 2
