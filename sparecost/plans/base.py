@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import unique_source
+from sparecost.operators import unique_source, with_spread
 
 _PICKED = {
     "received_month": "received_month",
@@ -80,16 +80,19 @@ def event_base(
     )
     costs = activity.select("unique_link_key", F.col("event_spl").alias("sc_spl"))
     found = return_columns(returns)
+    # events without a part are spread, or they would meet in one partition of the join with the part master
+    lines = with_spread(lines, "part_number", "part_key")
+    parts = parts.withColumnRenamed("part_number", "part_key")
     joined = (
         lines.join(found, "unique_link_key", "left")
         .join(costs, "unique_link_key", "left")
-        .join(parts, ["part_number", "region"], "left")
+        .join(parts, ["part_key", "region"], "left")
         .join(hwpl.select(F.col("hwpl").alias("hw_prod_line"), F.col("spl").alias("part_spl")), "hw_prod_line", "left")
         .join(hwpl.select(F.col("hwpl").alias("event_hwpl"), F.col("spl").alias("event_spl")), "event_hwpl", "left")
     )
     return joined.withColumn("receipt_type", F.coalesce("receipt_type", F.lit(R.NO_RECEIPT))).withColumn(
         "data_period", F.lit(period.period)
-    ).drop("hw_prod_line")
+    ).drop("hw_prod_line", "part_key")
 
 
 def refresh_returns(lines: DataFrame, returns: DataFrame, period: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparecost import rules as R
 from sparecost.functions import semantics as S
 from sparecost.operators import merge_update
+from sparecost.plans.link import usable_repairs
 
 
 def consumption_check(events: DataFrame, product_lines: DataFrame, first_month: str = "201511") -> DataFrame:
@@ -40,15 +41,18 @@ def reconcile(check: DataFrame, accounting: DataFrame, months: DataFrame) -> Dat
     )
 
 
-def duplicate_tags(linked: DataFrame) -> DataFrame:
-    """Lines per region whose repair tag occurs more than once."""
-    repeated = (
-        linked.filter(F.col("repair_flow_tag").isNotNull()).groupBy("repair_flow_tag").count()
-        .filter(F.col("count") > 1).select("repair_flow_tag")
-    )
-    return linked.join(repeated, "repair_flow_tag", "left_semi").groupBy("region").agg(
-        F.count(F.lit(1)).alias("duplicate_records")
-    )
+def duplicate_tags(lines: DataFrame, repairs: DataFrame, period: R.Period) -> DataFrame:
+    """Rows of the repair link per region whose normalised tag occurs more than once there.
+
+    Only counts meet: a tag contributes lines x repairs rows, so the link itself is not made and a tag in very many lines or
+    repairs is one row.
+    """
+    held = lines.filter(F.col("flow_tag").isNotNull()).groupBy("flow_tag", "region").agg(F.count(F.lit(1)).alias("lines"))
+    found = usable_repairs(repairs, period).groupBy("flow_tag").agg(F.count(F.lit(1)).alias("repairs"))
+    linked = held.join(found, "flow_tag").groupBy(S.normalise_tag("flow_tag").alias("tag"), "region").agg(
+        F.sum(F.col("lines") * F.col("repairs")).alias("n"))
+    repeated = linked.groupBy("tag").agg(F.sum("n").alias("all")).filter(F.col("all") > 1).select("tag")
+    return linked.join(repeated, "tag", "left_semi").groupBy("region").agg(F.sum("n").alias("duplicate_records"))
 
 
 def event_check(events: DataFrame, part_master: DataFrame, product_lines: DataFrame, activity: DataFrame,

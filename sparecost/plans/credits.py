@@ -25,10 +25,11 @@ def _ready(lines: DataFrame) -> DataFrame:
 def dmr_status(lines: DataFrame, dmr: DataFrame) -> DataFrame:
     """DMR flag by region and order item without hyphens; 'No DMR' where none is found."""
     flags = dmr.filter(S.not_blank("dmr_flag")).select("region", "so_item", "dmr_flag").distinct()
+    # lines without an order item are spread, or they would share one key per region
+    keyed = with_spread(_add(lines, ["dmr_status"], "string").withColumn("__item", S.unhyphenate("so_item")), "__item", "__item_key")
     found = merge_update(
-        _add(lines, ["dmr_status"], "string"), flags, {"region": "region", "so_item": S.unhyphenate("so_item")},
-        {"dmr_status": "dmr_flag"}, on_duplicate="first", order=("dmr_flag",),
-    )
+        keyed, flags, {"region": "region", "so_item": "__item_key"}, {"dmr_status": "dmr_flag"}, on_duplicate="first", order=("dmr_flag",),
+    ).drop("__item", "__item_key")
     return found.withColumn(
         "dmr_status", F.when(S.is_blank("dmr_status"), F.lit("No DMR")).otherwise(F.col("dmr_status"))
     )

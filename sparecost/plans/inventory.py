@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparecost import rules as R
 from sparecost.functions import semantics as S
 from sparecost.operators import merge_update
+from sparecost.session import stage_end
 
 GROUP = ["support_product_line", "region_l2"]
 
@@ -81,27 +82,32 @@ def _cube(places: DataFrame, cube: DataFrame, kind: str, out: str) -> DataFrame:
     return merge_update(places, costs, ["region_l2", "support_product_line"], {out: F.col("src_adj_cube").cast("double")})
 
 
-def revaluation(places: DataFrame, values: DataFrame, cube: DataFrame) -> DataFrame:
+def with_group_totals(places: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """True-up (start less end reserve) per place, and value and true-up of its group, both totals from one aggregate.
+
+    The totals are partial sums per task, so a group with very many places costs one row per task. stored: the same places
+    as a stored stage, from which the totals are read; the stock itself is then scanned once.
+    """
+    def trued(df):
+        df = df.withColumn("reserve_end", S.zero("reserve_end"))
+        return df.withColumn("true_up", F.col("reserve_start") - F.col("reserve_end"))
+
+    totals = trued(places if stored is None else stored).groupBy(*GROUP).agg(
+        S.exact_sum("value_current").alias("group_value"), S.exact_sum("true_up").alias("group_true_up"))
+    return merge_update(
+        trued(places), totals, GROUP, {"group_value": "group_value", "group_true_up": "group_true_up"}, unmatched="null", on_duplicate="unique")
+
+
+def revaluation(places: DataFrame, cube: DataFrame) -> DataFrame:
     """Standard revaluation of a group over its places by value."""
-    places = merge_update(
-        places, values, GROUP, {"group_value": "group_value"}, unmatched="null", on_duplicate="unique"
-    ).withColumn("std_rev_share", share("value_current", "group_value"))
-    return _cube(places, cube, R.REVALUATION_COST, "cube_std_rev").withColumn(
+    return _cube(places.withColumn("std_rev_share", share("value_current", "group_value")), cube, R.REVALUATION_COST, "cube_std_rev").withColumn(
         "std_rev_usd", F.col("std_rev_share") * F.col("cube_std_rev")
     )
 
 
 def reserve_true_up(places: DataFrame, cube: DataFrame) -> DataFrame:
-    """True-up is start less end reserve; its group total comes from an aggregate, not a window,
-    so that a group with very many places is summed in parts."""
-    places = places.withColumn("reserve_end", S.zero("reserve_end")).withColumn(
-        "true_up", F.col("reserve_start") - S.zero("reserve_end")
-    )
-    totals = places.groupBy(*GROUP).agg(S.exact_sum("true_up").alias("group_true_up"))
-    places = merge_update(
-        places, totals, GROUP, {"group_true_up": "group_true_up"}, unmatched="null", on_duplicate="unique"
-    ).withColumn("true_up_share", share("true_up", "group_true_up"))
-    return _cube(places, cube, R.RESERVE_COST, "cube_reserve").withColumn(
+    """Reserve cost of a group over its places by true-up."""
+    return _cube(places.withColumn("true_up_share", share("true_up", "group_true_up")), cube, R.RESERVE_COST, "cube_reserve").withColumn(
         "true_up_usd", F.col("true_up_share") * F.col("cube_reserve")
     )
 
@@ -109,5 +115,6 @@ def reserve_true_up(places: DataFrame, cube: DataFrame) -> DataFrame:
 def inventory_model(
     start: DataFrame, end: DataFrame, special_keys: DataFrame, cube: DataFrame
 ) -> DataFrame:
-    places = allocation_key(snapshot(start), end_reserve(end), special_keys)
-    return reserve_true_up(revaluation(places, group_value(start), cube), cube)
+    """Both allocations over the snapshot. Its places are stored once: the group totals and the shares read them, not the stock."""
+    places = stage_end(allocation_key(snapshot(start), end_reserve(end), special_keys))
+    return reserve_true_up(revaluation(with_group_totals(places), cube), cube)

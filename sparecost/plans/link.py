@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparecost import rules as R
 from sparecost.functions import semantics as S
-from sparecost.operators import latest_per_key, merge_update, with_spread
+from sparecost.operators import SALT, hot_keys, latest_per_key, merge_update, replicated, salted, with_spread
 
 TAG_KEY = "tag_key"
 KEY = "unique_link_key"
@@ -65,20 +65,25 @@ def _turnaround() -> Column:
     return S.days_between("phy_part_no_rec_date", "repair_upload_date")
 
 
-def repair_link(lines: DataFrame, repairs: DataFrame, period: R.Period) -> DataFrame:
-    """All repairs of every line's tag; the newest repair of a tag is in use once ('Y'), the rest is not."""
+def repair_link(lines: DataFrame, repairs: DataFrame, period: R.Period, hot_rows: int = 1_000_000, slots: int = 64) -> DataFrame:
+    """All repairs of every line's tag; the newest repair of a tag is in use once ('Y'), the rest is not.
+
+    The result has lines x repairs rows of a tag. Tags of `hot_rows` lines or more have their lines dealt over `slots` parts,
+    each of which meets a copy of the tag's repairs; so neither one task nor a wider copy of all repairs is needed.
+    """
     wanted = usable_repairs(repairs, period)
     newest = _newest(wanted).select("flow_tag", F.col("repair_id").alias("newest_id"))
-    found = wanted.join(newest.join(_winners(lines), "flow_tag", "left"), "flow_tag").select(
-        F.col("flow_tag").alias(TAG_KEY), "repair_id", *[v.alias(k) for k, v in _repair_values().items()],
+    hot = hot_keys(lines, "flow_tag", hot_rows)
+    found = replicated(wanted.join(newest.join(_winners(lines), "flow_tag", "left"), "flow_tag"), "flow_tag", hot, slots).select(
+        F.col("flow_tag").alias(TAG_KEY), SALT, "repair_id", *[v.alias(k) for k, v in _repair_values().items()],
         "newest_id", "winner",
     )
-    tagged = with_spread(lines, "flow_tag", TAG_KEY).join(found, TAG_KEY, "left")
+    tagged = with_spread(salted(lines, "flow_tag", hot, slots, KEY), "flow_tag", TAG_KEY).join(found, [TAG_KEY, SALT], "left")
     used = (F.col("repair_id") == F.col("newest_id")) & (F.col(KEY) == F.col("winner"))
     return (
         tagged.withColumn("repair_tag_used", F.when(F.col("repair_id").isNotNull(), F.when(used, "Y").otherwise("N")))
         .withColumn("repair_tat", _turnaround())
-        .drop("newest_id", "winner", TAG_KEY)
+        .drop("newest_id", "winner", TAG_KEY, SALT)
     )
 
 

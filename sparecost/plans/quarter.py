@@ -15,7 +15,7 @@ from sparecost.session import Stages
 
 INPUTS = (
     "service_events", "part_master", "product_lines", "returns", "activity", "repairs", "dc_returns", "rma",
-    "patches_ame", "patches_ame_b", "patches_emea", "plant_supplier", "disposition_supplier", "contract_vendor", "new_buy_vendor",
+    "patches_ame", "patches_ame_b", "patches_emea", "patches_emea_b", "plant_supplier", "disposition_supplier", "contract_vendor", "new_buy_vendor",
     "tag_vendor", "tag_supplier", "l2_supplier_map", "tag_flag", "code_remap", "flag_rules", "regional_cost",
     "sap_cost", "cost_adjustment", "service_standard", "repair_average", "variance_actuals", "defective_scrap",
     "supplier_spend", "tag_charges", "top_vendors", "part_charges", "tag_rates", "part_level", "activity_cost",
@@ -30,7 +30,7 @@ def linked(inputs: dict[str, DataFrame], period: R.Period) -> DataFrame:
         inputs["service_events"], inputs["part_master"], inputs["product_lines"], inputs["returns"],
         inputs["activity"], period,
     )
-    patches = {"AME": [inputs["patches_ame"], inputs["patches_ame_b"]], "EMEA": [inputs["patches_emea"]]}
+    patches = {"AME": [inputs["patches_ame"], inputs["patches_ame_b"]], "EMEA": [inputs["patches_emea"], inputs["patches_emea_b"]]}
     return link(lines, inputs["repairs"], inputs["dc_returns"], inputs["rma"], patches, period)
 
 

@@ -165,7 +165,7 @@ def override(src: str) -> str:
             s, f"LEFT JOIN {table} b ON a.flow_tag = b.flow_tag AND a.region = '{region}'",
             {c: f"CASE WHEN b.flow_tag IS NOT NULL THEN b.{c} ELSE a.{c} END" for c in ("repair_disposition", "repair_warranty_status")})
 
-    return nested(src, one("patches_ame", "AME"), one("patches_ame_b", "AME"), one("patches_emea", "EMEA"))
+    return nested(src, one("patches_ame", "AME"), one("patches_ame_b", "AME"), one("patches_emea", "EMEA"), one("patches_emea_b", "EMEA"))
 
 
 # ---- suppliers --------------------------------------------------------------------------
@@ -344,12 +344,12 @@ def first_pass(src: str) -> str:
         src,
         lambda s: f"SELECT *, CAST(NULL AS DOUBLE) AS cons_cost, CAST(NULL AS VARCHAR) AS cons_cost_notes FROM {s}",
         put("final_disp_flag = 'IW Exch'", "0.0"),
-        put(f"{oow} AND COALESCE(oow_avg_repair_cost, -1.0) >= 0", "oow_avg_repair_cost", "OOW Avg Repair Cost Used"),
-        put(f"{oow} AND COALESCE(oow_avg_repair_cost, -1.0) < 0 AND COALESCE(b.out_warranty_repr, -1.0) >= 0", "b.out_warranty_repr",
+        put(f"{oow} AND oow_avg_repair_cost IS NOT NULL AND oow_avg_repair_cost >= 0", "oow_avg_repair_cost", "OOW Avg Repair Cost Used"),
+        put(f"{oow} AND (oow_avg_repair_cost IS NULL OR oow_avg_repair_cost < 0) AND b.out_warranty_repr >= 0", "b.out_warranty_repr",
             "iCost SVC Repair Std Used", "LEFT JOIN service_standard b ON a.part_number = b.part AND a.region = b.region AND a.received_month = b.period"),
-        put(f"{oow} AND COALESCE(cons_cost, -1.0) < 0", "event_pn_nrs", "NRS Used"),
-        put(f"{part} AND COALESCE(oow_iw_avg_repair_cost, -1.0) >= 0", "oow_iw_avg_repair_cost", "OOW/IW Avg Repair Cost Used"),
-        put(f"{part} AND (COALESCE(oow_iw_avg_repair_cost, -1.0) < 0 OR oow_iw_avg_repair_cost = 0)", "event_pn_nrs", "NRS Used"),
+        put(f"{oow} AND (cons_cost IS NULL OR cons_cost < 0)", "event_pn_nrs", "NRS Used"),
+        put(f"{part} AND oow_iw_avg_repair_cost IS NOT NULL AND oow_iw_avg_repair_cost >= 0", "oow_iw_avg_repair_cost", "OOW/IW Avg Repair Cost Used"),
+        put(f"{part} AND (oow_iw_avg_repair_cost IS NULL OR oow_iw_avg_repair_cost <= 0)", "event_pn_nrs", "NRS Used"),
         put("final_disp_flag IN ('Unknown','WT02','QT20','In Transit')", "event_pn_nrs * part_qty_consumed", "NRS Used"),
         put("final_disp_flag = 'Good Unused'", "0.0"),
     )
@@ -616,7 +616,7 @@ def _average(table: str, cost: str, where: str = "TRUE", named: bool = False) ->
 
 
 ORG = "c.org_cd IN ('AM02','H499','C299')"
-NEW_BUY = f"{ORG} AND c.transaction_type = 'NB' AND COALESCE(c.forecast_cost, -100.0) >= 0.0"
+NEW_BUY = f"{ORG} AND c.transaction_type = 'NB' AND c.forecast_cost IS NOT NULL AND c.forecast_cost >= 0.0"
 OOW = _average("contract_cost", "contract_cost", "c.transaction_type = 'OC'")
 IW = _average("contract_cost_iw", "contract_cost")
 NB_NAMED = _average("contract_cost", "forecast_cost", NEW_BUY, True)
@@ -631,7 +631,7 @@ def _credit(average: str, where: str, credit: str = "b.cost * -1.0", note: str =
                                        "credit_comments": f"CASE WHEN b.region IS NOT NULL THEN {note} ELSE a.credit_comments END"})
 
 
-OPEN = "COALESCE(a.credits, 1.0) > 0"
+OPEN = "(a.credits IS NULL OR a.credits > 0)"
 WEST = "a.region IN ('AME','EMEA')"
 MAKER = (f"(({WEST} AND a.l2_supplier = 'RRD' AND {low('a.repair_oem_name', 'seagate')}) OR (a.region = 'APJ' AND {low('a.l2_supplier', 'seagate')})) "
          "AND a.final_disp_flag = 'IW Credit'")
@@ -708,9 +708,14 @@ NUMERIC = {
 WHOLE = {"repair_tat", "part_qty_received", "part_qty_demanded", "part_qty_consumed"}
 
 
-def rounded(c: str) -> str:
-    """Four decimals by plain arithmetic, so that halves fall alike in both engines."""
-    return f"floor(CAST({c} AS DOUBLE) * 10000.0e0 + 0.5e0) / 10000.0e0"
+# shares and unit rates, compared at ten decimals
+FINE = {"std_rev_share", "true_up_share", "unit_rate"}
+
+
+def rounded(c: str, fine: bool = False) -> str:
+    """Four decimals (ten if fine) by plain arithmetic, so that halves fall alike in both engines."""
+    unit = "10000000000.0e0" if fine else "10000.0e0"
+    return f"floor(CAST({c} AS DOUBLE) * {unit} + 0.5e0) / {unit}"
 
 
 def money(c: str) -> str:

@@ -16,7 +16,7 @@ from sparecost.functions import semantics as S
 from sparecost.operators import latest_per_key, merge_update
 from sparecost.plans import archive, base, checks, consumption, credits, disposition, interim, inventory, link, pools, quarter, standards, supplier
 from sparecost.plans.archive import ARCHIVE_COLUMNS
-from sparecost.session import Stages, checkpoint_dir
+from sparecost.session import Stages, checkpoint_dir, stage_end
 from sparecost.testbed import oracle as O
 from sparecost.testbed.standins import COST_MONTH, PERIOD, PREVIOUS, Bed, ctes
 
@@ -37,14 +37,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def show(df: DataFrame, *columns: str) -> DataFrame:
-    """Chosen columns in comparable types: amounts rounded to four decimals, counts as long."""
+    """Chosen columns in comparable types: amounts rounded to four decimals, shares and unit rates to ten, counts as long."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in columns or df.columns:
         kind = kinds[c]
         if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-            scaled = F.floor(F.col(c).cast("double") * 10000.0 + 0.5).cast("double")
-            out.append((scaled / 10000.0).alias(c))
+            unit = 1e10 if c in O.FINE else 1e4
+            scaled = F.floor(F.col(c).cast("double") * unit + 0.5).cast("double")
+            out.append((scaled / unit).alias(c))
         elif isinstance(kind, T.IntegralType):
             out.append(F.col(c).cast("long").alias(c))
         else:
@@ -53,7 +54,8 @@ def show(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def num(c: str) -> str:
-    return f"{O.rounded(c)} AS {c.split('.')[-1]}"
+    name = c.split('.')[-1]
+    return f"{O.rounded(c, name in O.FINE)} AS {name}"
 
 
 def whole(c: str) -> str:
@@ -128,7 +130,7 @@ QUERIES["refresh_all_returns"] = Query(lambda bed: refresh(bed, bed["returns"]),
 
 REPAIR_OUT = ("repair_vendor", "repair_flow_tag", "repair_oem_name", "repair_disposition", "repair_warranty_status",
               "repair_upload_month", "repair_upload_date", "repair_tag_used", "repair_tat")
-on_base("repair_link", lambda bed: link.repair_link(event_base(bed), bed["repairs"], RUN), ("repair_id", *REPAIR_OUT), ("repairs",), O.repair_link)
+on_base("repair_link", lambda bed: link.repair_link(stage_end(event_base(bed)), bed["repairs"], RUN), ("repair_id", *REPAIR_OUT), ("repairs",), O.repair_link)
 on_base("latest_repair", lambda bed: link.latest_repair(event_base(bed), bed["repairs"], RUN), REPAIR_OUT, ("repairs",), O.latest_repair)
 plain("clean_repairs", lambda bed: link.clean_repairs(bed["repairs"], RUN, ("202401", "202412")), ("repairs",),
       f"""SELECT flow_tag, repair_id, {O.REPAIR_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY flow_tag ORDER BY upload_date DESC,
@@ -162,9 +164,9 @@ on_base("rma_link", lambda bed: link.link_rma(link.link_returns(cleaned(bed), be
         tuple(O.RMA_COLUMNS), ("repairs", "dc_returns", "rma"), *LINKED, O.link_returns, O.link_rma)
 on_lines("region_pick", lambda lines, bed: link.pick_hub_values(lines), ("hub_received_plant", "hub_disposition"), (), O.pick_hub,
          without=("hub_disposition",))
-PATCHES = ("patches_ame", "patches_ame_b", "patches_emea")
+PATCHES = ("patches_ame", "patches_ame_b", "patches_emea", "patches_emea_b")
 on_lines("override_patch",
-         lambda lines, bed: link.override_repairs(lines, {"AME": [bed[PATCHES[0]], bed[PATCHES[1]]], "EMEA": [bed[PATCHES[2]]]}),
+         lambda lines, bed: link.override_repairs(lines, {"AME": [bed[PATCHES[0]], bed[PATCHES[1]]], "EMEA": [bed[PATCHES[2]], bed[PATCHES[3]]]}),
          ("repair_disposition", "repair_warranty_status"), PATCHES, O.override)
 
 # ---- suppliers and disposition --------------------------------------------------------------------
@@ -235,7 +237,7 @@ pool("scrap_alloc", lambda lines, s, c: pools.scrap(lines, pools.scrap_valuation
      ("defective_scrap", "regional_cost"), O.scrap)
 plain("scrap_audit", lambda bed: pools.scrap_audit(bed["lines"], pools.scrap_valuation(bed["defective_scrap"], bed["regional_cost"], RUN), PERIOD),
       ("lines", "defective_scrap", "regional_cost"), f"""SELECT d.region, d.part_number, d.total AS total_cons_qty, {num('v.net_scrap')},
-      floor((CASE WHEN d.total > 0 THEN v.net_scrap / d.total ELSE 0.0 END) * 10000.0e0 + 0.5e0) / 10000.0e0 AS def_scrap_cost
+      {O.rounded('CASE WHEN d.total > 0 THEN v.net_scrap / d.total ELSE 0.0 END')} AS def_scrap_cost
       FROM (SELECT region, part_number, {O.dec('part_qty_consumed')} AS total FROM lines a WHERE {O.SCRAP_BASE} GROUP BY region, part_number) d
       JOIN ({O.VALUED}) v ON d.region = v.region AND d.part_number = v.material AND v.data_period = {O.P}""")
 pool("pool_by_supplier", lambda lines, s: pools.charge_by_supplier(lines, s, PERIOD), NPPO, ("supplier_spend",), O.by_supplier)
@@ -603,10 +605,10 @@ def _two_sql(keys, adder: bool = True) -> str:
         total = "h.part_qty_consumed * h.event_pn_nrs"
         join = ""
     else:
-        other = f"(SELECT DISTINCT non_nrs_rate FROM cost_adders x WHERE x.region = h.region AND x.event_spl = 'All Others' AND x.data_period = '{PREVIOUS}')"
         total = (f"COALESCE(h.part_qty_consumed, 0.0) * COALESCE(h.event_pn_nrs, 0.0) + COALESCE(h.part_qty_consumed, 0.0) * CASE WHEN NOT {O.blank('h.event_spl')} "
-                 f"AND NOT {O.blank('b.event_spl')} THEN COALESCE(b.non_nrs_rate, 0.0) ELSE {other} END")
-        join = f"LEFT JOIN cost_adders b ON h.event_spl = b.event_spl AND h.region = b.region AND h.data_period = b.data_period"
+                 f"AND NOT {O.blank('b.event_spl')} THEN COALESCE(b.non_nrs_rate, 0.0) ELSE x.non_nrs_rate END")
+        join = (f"LEFT JOIN cost_adders b ON h.event_spl = b.event_spl AND h.region = b.region AND h.data_period = b.data_period LEFT JOIN "
+                f"(SELECT DISTINCT region, non_nrs_rate FROM cost_adders WHERE event_spl = 'All Others' AND data_period = '{PREVIOUS}') x ON x.region = h.region")
     return (f"SELECT h.unique_link_key, {', '.join('h.' + k for k in keys)}, {total} AS interim_total, 'Option 2' AS interim_option FROM history h {join} "
             f"WHERE h.data_period = {O.P} AND h.unique_link_key NOT IN ({done})")
 
@@ -689,7 +691,7 @@ plain("reconcile", lambda bed: checks.reconcile(checks.consumption_check(bed["se
       ("service_events", "product_lines", "accounting_named", "month_names"), f"""SELECT c.*, a.spl AS spl_in_accounting, a.cons_qty AS cons_qty_in_accounting
       FROM ({CHECK}) c LEFT JOIN (SELECT n.region, m.month_transformed AS month, n.spl, n.cons_qty FROM accounting_named n JOIN month_names m ON n.month = m.column_name) a
       ON c.region = a.region AND c.month = a.month AND c.event_spl = a.spl""")
-plain("duplicate_tags", lambda bed: checks.duplicate_tags(link.repair_link(event_base(bed), bed["repairs"], RUN)), (*BASE_INPUTS, "repairs"),
+plain("duplicate_tags", lambda bed: checks.duplicate_tags(event_base(bed), bed["repairs"], RUN), (*BASE_INPUTS, "repairs"),
       """SELECT region, COUNT(*) AS duplicate_records FROM linked WHERE repair_flow_tag IN (SELECT repair_flow_tag FROM linked GROUP BY repair_flow_tag
       HAVING COUNT(repair_flow_tag) > 1) GROUP BY region""", [("b", O.BASE), ("linked", O.repair_link("b"))])
 EVENT_CHECK = f"""SELECT e.*, h.spl AS event_spl, p.part_commodity, p.material_description AS part_description, c.event_spl AS sc_spl

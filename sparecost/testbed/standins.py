@@ -160,7 +160,7 @@ SELECT {tag('l_orderkey')} AS flow_tag, {HYPHEN.format(KIT)} AS part_number, {pi
   {pick('g', 'Pass', 'Fail')} AS nff_results, l_shipdate AS container_release
 FROM {{sale}} WHERE l_returnflag = 'R'""")
 
-for _name, _mod, _rest in (("patches_ame", 17, 3), ("patches_ame_b", 11, 3), ("patches_emea", 19, 4)):
+for _name, _mod, _rest in (("patches_ame", 17, 3), ("patches_ame_b", 11, 3), ("patches_emea", 19, 4), ("patches_emea_b", 13, 5)):
     _define(_name, f"""
 SELECT {tag('o_orderkey')} AS flow_tag, {pick('o_custkey', *REPAIR_FLAGS)} AS repair_disposition,
   {pick('o_custkey', *WARRANTIES)} AS repair_warranty_status FROM {{orders}} WHERE o_orderkey % {_mod} = {_rest}""")

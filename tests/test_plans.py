@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparecost.plans import checks, consumption, disposition, interim, link, pools, supplier
+from sparecost.operators import SALT, hot_keys, salted
+from sparecost.plans import checks, consumption, credits, disposition, interim, link, pools, supplier
 from sparecost.rules import Period
 
 P = "2017Q1"
@@ -130,3 +131,29 @@ def test_interim_labels_and_null_keys(spark):
     assert got["d"][:2] == ("Option 1 - PART CONS", 30.0) and float(got["d"][2]) == 9.0
     assert got["f"][:2] == ("Option 1 - DEMAND BUT NO CONS", 50.0) and float(got["f"][2]) == 0.0
     assert got["e"][:2] == ("Option 2", 4.5) and got["g"][:2] == ("Option 2", 12.0)
+
+
+def test_a_tag_of_a_third_of_the_lines_is_dealt_over_many_parts(spark):
+    """The same rows with and without salt; no pair of tag and salt holds a large share of the hot tag's lines."""
+    lines = spark.sql("""SELECT CAST(id AS STRING) AS unique_link_key, 'APJ' AS region, CASE WHEN id % 3 = 0 THEN 'FT1' WHEN id % 3 = 1 THEN 'FT' || id END AS flow_tag,
+      CAST(NULL AS TIMESTAMP) AS phy_part_no_rec_date FROM range(3000)""")
+    repairs = spark.sql("""SELECT id AS repair_id, CASE WHEN id < 6 THEN 'FT1' ELSE 'FT' || id END AS flow_tag, TIMESTAMP '2017-01-01' + make_interval(0, 0, 0, CAST(id % 100 AS INT)) AS upload_date,
+      'Valid' AS record_status, 'V' AS vendor_name, 'O' AS oem_name, 'D' AS final_disposition, 'W' AS warranty_vendor FROM range(400)""")
+    period = Period(repair_cutoff="2018-01-01 00:00:00")
+    plain, dealt = (link.repair_link(lines, repairs, period, hot_rows=n) for n in (10_000, 100))
+    def key(df):
+        return sorted(map(repr, (tuple(r) for r in df.select(*sorted(df.columns)).collect())))
+    assert key(plain) == key(dealt) and dealt.filter("repair_tag_used = 'Y'").count() == plain.filter("repair_tag_used = 'Y'").count()
+    hot = hot_keys(lines, "flow_tag", 100)
+    assert [r[0] for r in hot.collect()] == ["FT1"]
+    sizes = [r["count"] for r in salted(lines, "flow_tag", hot, 64).filter("flow_tag = 'FT1'").groupBy(SALT).count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 50
+    counted = {r["region"]: r["duplicate_records"] for r in checks.duplicate_tags(lines, repairs, period).collect()}
+    assert counted == {"APJ": 6 * 1001}
+
+
+def test_lines_without_an_item_do_not_share_a_key(spark):
+    lines = spark.range(2000).select(F.col("id").cast("string").alias("unique_link_key"), F.lit("APJ").alias("region"), F.lit(None).cast("string").alias("so_item"))
+    flags = frame(spark, "region string, so_item string, dmr_flag string", ("APJ", "S1", "DMR"))
+    found = credits.dmr_status(lines, flags)
+    assert {r[0] for r in found.select("dmr_status").distinct().collect()} == {"No DMR"} and "__item" not in found.columns
