@@ -21,6 +21,11 @@ _GROUP_BITS = 22
 _U = np.uint64
 
 
+def cells_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Cells of anchors. A hash that was the least of its window is small, so it is mixed again before its top bits are taken."""
+    return grams.mix(hashes ^ _U(0x5851F42D4C957F2D)) >> _U(64 - bits)
+
+
 def anchors(hashes: np.ndarray, doc: np.ndarray, length: int, k: int):
     """Hash and position of each anchor, and the first and last start of the windows that it stands for."""
     n = len(doc) - length + 1
@@ -56,7 +61,7 @@ def _cells(batches, words: bool, length: int, k: int, bits: int):
         data, offsets = text_buffer(batch.column("__text"))
         for a, b in runs_of(offsets, _SLICE):
             hashes, doc, *_ = units(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], words, k)
-            found.append((anchors(hashes, doc, length, k)[0] >> _U(64 - bits)).astype(np.uint32))
+            found.append(cells_of(anchors(hashes, doc, length, k)[0], bits).astype(np.uint32))
     cells, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint32), return_counts=True)
     group, low = cells >> _GROUP_BITS, np.uint32((1 << _GROUP_BITS) - 1)
     for g in np.unique(group):
@@ -106,7 +111,7 @@ def _segments(batches, words: bool, length: int, k: int, bits: int, bitmap, othe
             part, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
             hashes, doc, w_starts, w_ends = units(part, at, words, k)
             h, pos, s0, s1 = anchors(hashes, doc, length, k)
-            cell = (h >> _U(64 - bits)).astype(np.int64)
+            cell = cells_of(h, bits).astype(np.int64)
             keep = (repeated[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 > 0
             h, pos, s0, s1 = h[keep], pos[keep], s0[keep], s1[keep]
             of = doc[s0] if len(s0) else s0
