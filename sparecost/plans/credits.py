@@ -186,16 +186,41 @@ def age_credit_rules() -> list[Rule]:
     ]
 
 
-def kitting_fee(lines: DataFrame, fees: DataFrame, period: str) -> DataFrame:
-    """Add the month's average kitting fee to forecast credits of the named maker."""
-    scope = (
-        S.is_named("l2_supplier", R.DRIVE_MAKER) & _flag("IW Credit")
-        & F.col("credit_comments").isin(_FORECAST, _FORECAST_BLANK)
-    )
+def forecast_rules() -> list[Rule]:
+    """Older variant, one rule for the drive supplier's lines of any maker (APJ: the named maker's): forecast cost, half of it
+    for old parts of the named maker; then the contract where still open."""
+    age, maker = F.col("part_age"), S.is_named("repair_oem_name", R.DRIVE_MAKER)
+    west = _west() & (F.col("l2_supplier") == R.DRIVE_SUPPLIER) & _flag("IW Credit")
+    apj = (F.col("region") == "APJ") & S.is_named("l2_supplier", R.DRIVE_MAKER) & _flag("IW Credit")
+    unknown = age.isNull() | S.is_blank("ct_code_label")
+
+    def forecast(scope, of_maker):
+        aged = F.coalesce(of_maker & (age > R.AGE_LIMIT), F.lit(False))
+        value = F.when(aged, F.col("nb_named_avg") * R.AGED_FACTOR * -1.0).otherwise(_minus("nb_named"))
+        blank = F.coalesce(of_maker & unknown, F.lit(False))
+        return Rule(scope & _has("nb_named"), {
+            "credits": value, "credit_comments": F.when(blank, F.lit(_FORECAST_BLANK)).otherwise(F.lit(_FORECAST))})
+
+    return [
+        forecast(west, maker), forecast(apj, F.lit(True)),
+        Rule((west | apj) & _has("iw_named") & S.is_null_or_zero("credits"), {
+            "credits": _minus("iw_named"), "credit_comments": F.lit(_IN_WARRANTY)}, True),
+    ]
+
+
+def kitting_fee(lines: DataFrame, fees: DataFrame, period: str, maker_credits: bool = True) -> DataFrame:
+    """Add the month's average kitting fee: to forecast credits of the named maker, or, in the older variant, to all in-warranty
+    lines of the drive supplier, which are then commented as a supplier credit."""
+    if maker_credits:
+        scope = S.is_named("l2_supplier", R.DRIVE_MAKER) & F.col("credit_comments").isin(_FORECAST, _FORECAST_BLANK)
+    else:
+        scope = F.col("l2_supplier") == R.DRIVE_SUPPLIER
     current = fees.filter(F.col("data_period") == period).select("region", "month", "avg_kitting_fee")
+    values = {"credits": S.zero("credits") + F.col("src_avg_kitting_fee").cast("double")}
+    if not maker_credits:
+        values["credit_comments"] = F.lit(_SUPPLIER)
     return merge_update(
-        _ready(lines), current, {"region": "region", "month": "master_event_activity_month"},
-        {"credits": S.zero("credits") + F.col("src_avg_kitting_fee").cast("double")}, where=scope
+        _ready(lines), current, {"region": "region", "month": "master_event_activity_month"}, values, where=scope & _flag("IW Credit")
     )
 
 
@@ -211,25 +236,35 @@ def other_maker_rules() -> list[Rule]:
     ]
 
 
-def all_other_rules() -> list[Rule]:
-    """Every other named supplier: in-warranty and out-of-warranty contract averages."""
-    supplier = F.col("l2_supplier")
-    others = (_west() & (supplier != R.DRIVE_SUPPLIER)) | (
-        (F.col("region") == "APJ") & ~S.is_named(supplier, *R.APJ_NAMED_SUPPLIERS)
-    )
-    others = others & ~supplier.startswith("PCG")
+def all_other_rules(maker_credits: bool = True) -> list[Rule]:
+    """Every other named supplier: in-warranty and out-of-warranty contract averages.
+
+    In the older variant only the drive supplier is named, and the maker in APJ in warranty; out of warranty holds in all regions.
+    """
+    supplier, apj = F.col("l2_supplier"), F.col("region") == "APJ"
+    if maker_credits:
+        named = {"iw": R.APJ_NAMED_SUPPLIERS, "oow": R.APJ_NAMED_SUPPLIERS}
+        elsewhere = {"iw": _west(), "oow": _west()}
+    else:
+        named = {"iw": (R.DRIVE_SUPPLIER, R.DRIVE_MAKER), "oow": (R.DRIVE_SUPPLIER,)}
+        elsewhere = {"iw": _west(), "oow": ~apj}
     return [
-        Rule(others & _flag(flag) & _has(name), {"credits": _minus(name), "credit_comments": F.lit(_SUPPLIER)})
+        Rule(
+            ((elsewhere[name] & (supplier != R.DRIVE_SUPPLIER)) | (apj & ~S.is_named(supplier, *named[name])))
+            & ~supplier.startswith("PCG") & _flag(flag) & _has(name),
+            {"credits": _minus(name), "credit_comments": F.lit(_SUPPLIER)})
         for name, flag in (("iw", "IW Credit"), ("oow", "OOW Credit"))
     ]
 
 
-def contract_credits(lines: DataFrame, averages: DataFrame, fees: DataFrame, period: str) -> DataFrame:
+def contract_credits(lines: DataFrame, averages: DataFrame, fees: DataFrame, period: str, maker_credits: bool = True) -> DataFrame:
     """All contract credits in order, on one join with the averages."""
     columns = _ready(lines).columns
-    lines = rule_cascade(_attach(lines, averages), contract_fallback_rules() + age_credit_rules())
-    lines = kitting_fee(lines, fees, period)
-    return rule_cascade(lines, other_maker_rules() + all_other_rules()).select(*columns)
+    forecast = age_credit_rules() if maker_credits else forecast_rules()
+    lines = rule_cascade(_attach(lines, averages), contract_fallback_rules() + forecast)
+    lines = kitting_fee(lines, fees, period, maker_credits)
+    rest = other_maker_rules() if maker_credits else []
+    return rule_cascade(lines, rest + all_other_rules(maker_credits)).select(*columns)
 
 
 def apply_average_rules(lines: DataFrame, averages: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -237,19 +237,27 @@ def _inventory_region(lines: DataFrame, countries: DataFrame) -> DataFrame:
     )
 
 
+def event_line_inventory(lines: DataFrame, inventory: DataFrame, period: str, sums_from: DataFrame | None = None) -> DataFrame:
+    """Older rule: inventory cost of region and the event's product line over demanded quantity, regions not split."""
+    base = _demanded() & outside_excluded()
+    pool = Pool(_period(inventory, period), {"region": "region", "spl": "event_spl"}, "total_inv_cost")
+    lines = _add(lines, ["region_inv_costs"])
+    return allocate_pool(
+        lines, pool, DEMAND, "region_inv_costs", base=base, target=base & F.col("region_inv_costs").isNull(), sums_from=sums_from)
+
+
 def region_inventory(
-    lines: DataFrame, inventory: DataFrame, countries: DataFrame, period: str, spl: str = "part_spl",
-    sums_from: DataFrame | None = None,
+    lines: DataFrame, inventory: DataFrame, countries: DataFrame, period: str, sums_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Inventory cost of region and product line over demanded quantity.
+    """Inventory cost of region and the part's product line over demanded quantity.
 
     AME is split in north and south by country; the split becomes part of the region key, so all
-    regions are allocated in one pass. spl='event_spl' gives the older rule.
+    regions are allocated in one pass.
     """
     keyed = _inventory_region(_add(lines, ["region_inv_costs"]), countries)
     sums = None if sums_from is None else _inventory_region(sums_from, countries)
     base = _demanded() & F.col("inv_region").isNotNull() & ((F.col("region") == "AME") | outside_excluded())
-    pool = Pool(_period(inventory, period), {"region": "inv_region", "spl": spl}, "total_inv_cost")
+    pool = Pool(_period(inventory, period), {"region": "inv_region", "spl": "part_spl"}, "total_inv_cost")
     return allocate_pool(
         keyed, pool, DEMAND, "region_inv_costs", base=base, target=base & F.col("region_inv_costs").isNull(),
         sums_from=sums,
@@ -257,7 +265,7 @@ def region_inventory(
 
 
 def country_inventory(
-    lines: DataFrame, by_subregion: DataFrame, by_country: DataFrame, period: str
+    lines: DataFrame, by_subregion: DataFrame, by_country: DataFrame, period: str, sums_from: DataFrame | None = None
 ) -> DataFrame:
     """Older rule: cost of sub-region and event product line first, country cost where none was set."""
     lines = _add(lines, ["country_inv_costs"])
@@ -272,12 +280,11 @@ def country_inventory(
         {"__sub": "sub_region", "__cost": F.col("src_total_inv_cost").cast("double")},
         on_duplicate="unique"
     )
-    totals = keyed.filter(base & F.col("__sub").isNotNull()).groupBy("event_spl", "__sub").agg(
-        S.exact_sum(DEMAND).alias("qty")
-    )
-    totals = home.select("spl", "sub_region").distinct().join(
-        totals.select(F.col("event_spl").alias("spl"), F.col("__sub").alias("sub_region"), "qty"), ["spl", "sub_region"]
-    )
+    # by country first, which the lines hold themselves, then by the sub-region of the country
+    demanded = (lines if sums_from is None else sums_from).filter(base).groupBy(
+        F.col("event_spl").alias("spl"), F.col("event_country_iso_cd").alias("iso_country_code")).agg(S.exact_sum(DEMAND).alias("qty"))
+    totals = home.select("spl", "iso_country_code", "sub_region").join(demanded, ["spl", "iso_country_code"]).groupBy("spl", "sub_region").agg(
+        S.exact_sum("qty").alias("qty"))
     keyed = merge_update(
         keyed, totals, {"spl": "event_spl", "sub_region": "__sub"},
         {"country_inv_costs": F.col("__cost") / F.nullif(F.col("src_qty"), F.lit(0.0)) * F.col(DEMAND)},
@@ -287,7 +294,7 @@ def country_inventory(
         _period(by_country, period), {"iso_country_code": "event_country_iso_cd", "spl": "event_spl"}, "total_inv_cost"
     )
     return allocate_pool(
-        keyed, pool, DEMAND, "country_inv_costs", base=base, target=base & F.col("country_inv_costs").isNull()
+        keyed, pool, DEMAND, "country_inv_costs", base=base, target=base & F.col("country_inv_costs").isNull(), sums_from=sums_from
     )
 
 

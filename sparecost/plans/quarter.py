@@ -23,6 +23,8 @@ INPUTS = (
     "kitting_fees", "orphan_receipts", "region_inventory", "country_region", "country_taxes", "non_event_costs",
     "spl_by_region",
 )
+# needed by options only: rules.Options says which
+OPTIONAL_INPUTS = ("rfc_suppliers", "subregion_inventory", "country_inventory_cost")
 
 
 def linked(inputs: dict[str, DataFrame], period: R.Period) -> DataFrame:
@@ -78,16 +80,20 @@ def credited(lines: DataFrame, inputs: dict[str, DataFrame], period: R.Period, o
     averages = credits.contract_averages(
         inputs["contract_cost"], inputs["contract_cost_iw"], inputs["named_vendors"], p
     )
-    lines = credits.contract_credits(lines, averages, inputs["kitting_fees"], p)
+    lines = credits.contract_credits(lines, averages, inputs["kitting_fees"], p, options.maker_credits)
     lines = credits.cid_credit(credits.orphan_credit(lines, inputs["orphan_receipts"], p, stored))
     return consumption.at_standard(consumption.second_pass(lines))
 
 
-def totalled(lines: DataFrame, inputs: dict[str, DataFrame], period: R.Period) -> DataFrame:
+def totalled(lines: DataFrame, inputs: dict[str, DataFrame], period: R.Period, options: R.Options) -> DataFrame:
     p, stored = period.period, lines
     lines = pools.same_day_charge(lines, inputs["top_vendors"], p, stored)
     lines = lines.withColumn("country_inv_costs", F.lit(None).cast("double"))
-    lines = pools.region_inventory(lines, inputs["region_inventory"], inputs["country_region"], p, sums_from=stored)
+    if options.line_inventory:
+        lines = pools.region_inventory(lines, inputs["region_inventory"], inputs["country_region"], p, sums_from=stored)
+    else:
+        lines = pools.country_inventory(lines, inputs["subregion_inventory"], inputs["country_inventory_cost"], p, sums_from=stored)
+        lines = pools.event_line_inventory(lines, inputs["region_inventory"], p, sums_from=stored)
     lines = pools.taxes(lines, inputs["country_taxes"], p, stored)
     lines = pools.non_event(consumption.totals(lines), inputs["non_event_costs"], p, stored)
     return consumption.product_line_group(lines, inputs["spl_by_region"])
@@ -111,7 +117,7 @@ def run_quarter(
     }
     for name, step in steps.items():
         lines = stages.end(name, lambda step=step, lines=lines: step(lines))
-    return totalled(lines, inputs, period).drop(TAG_KEY)
+    return totalled(lines, inputs, period, options).drop(TAG_KEY)
 
 
 def basis(inputs: dict[str, DataFrame], period: R.Period, options: R.Options) -> tuple:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,7 +121,3 @@ def part_age(lines: DataFrame, week_codes: DataFrame, mid_quarter: str) -> DataF
          "part_age": (months.cast("double") / 12).cast("decimal(18,1)")},
         where=scope
     )
-
-
-def append_years(*tables: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables)

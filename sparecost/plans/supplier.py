@@ -140,7 +140,7 @@ def last_fallback(lines: DataFrame, contracts: DataFrame, period: str) -> DataFr
 def assign_suppliers(lines: DataFrame, inputs: dict, period: str, strict: bool = True) -> DataFrame:
     lines = first_assignment(
         add_supplier_columns(lines), inputs["plant_supplier"], inputs["disposition_supplier"],
-        inputs.get("rfc_suppliers"), strict,
+        None if strict else inputs["rfc_suppliers"], strict,
     )
     lines = contract_fallback(lines, inputs["contract_vendor"], inputs["new_buy_vendor"], period)
     lines = override_by_tag(lines, inputs["tag_vendor"], inputs["tag_supplier"], period)

@@ -110,14 +110,41 @@ class Period:
     rma_cutoff_month: str = "201704"
 
 
+    @classmethod
+    def relative(cls, period: str, start_month: str, end_month: str, cost_month: str, mid_quarter: str, months: int = 2) -> Period:
+        """Cut-offs that follow the cost month: what came up to `months` months after it counts."""
+        last = add_months(cost_month, months)
+        after = add_months(last, 1)
+        return cls(
+            period, start_month, end_month, cost_month, mid_quarter, repair_cutoff=f"{after[:4]}-{after[4:]}-01 00:00:00",
+            return_cutoff_month=last, rma_cutoff_month=last,
+        )
+
+
+def add_months(month: str, n: int) -> str:
+    """YYYYMM text n months later, by the calendar."""
+    at = int(month[:4]) * 12 + int(month[4:]) - 1 + n
+    return f"{at // 12:04d}{at % 12 + 1:02d}"
+
+
 @dataclass(frozen=True)
 class Options:
     """Choices between variants of the model.
 
-    strict: keep two inherited quirks (first supplier assignment always types APJ lines 'Repair').
+    strict: keep two inherited quirks (first supplier assignment always types APJ lines 'Repair'); without it the input
+    rfc_suppliers is needed.
     priced_by_consumed: older priced-credit rule, consumed quantity in place of received = 1.
+    maker_credits: forecast credits by maker; without it the older rules: one forecast rule for the drive supplier, the kitting
+    fee on its lines, and every other supplier by contract.
+    line_inventory: inventory cost by region, with AME split, and the part's product line; without it the older pools: sub-region and
+    country, then region by the event's product line, from the inputs subregion_inventory and country_inventory_cost.
     """
 
     strict: bool = True
     priced_by_consumed: bool = False
+    maker_credits: bool = True
+    line_inventory: bool = True
     interim_keys: tuple = field(default=("region", "part_number", "warranty_flag", "dmr_status"))
+
+
+OLDER = Options(priced_by_consumed=True, maker_credits=False, line_inventory=False)

@@ -196,6 +196,13 @@ def first_assignment(src: str) -> str:
     )
 
 
+def corrected_assignment(src: str) -> str:
+    """The first assignment with the type of APJ suppliers looked up after the supplier is set."""
+    named = f"a.region = 'APJ' AND NOT {blank('COALESCE(a.rma_vendor_name, a.repair_vendor, a.dcr_vendor_name)')}"
+    return updated(f"({first_assignment(src)})", "LEFT JOIN rfc_suppliers b ON a.l1_supplier = b.l1_supplier_name", {
+        "supplier_type": f"CASE WHEN {named} AND a.l1_supplier_source = 'RWT' AND NOT {blank('b.supplier_type')} THEN b.supplier_type ELSE a.supplier_type END"})
+
+
 def vendors_of(table: str, extra: str = "") -> str:
     return f"""(SELECT region, part, vendor_description AS vendor FROM (SELECT *, row_number() OVER (PARTITION BY region, part
   ORDER BY cost_change DESC, vendor_description DESC) AS rn FROM {table} WHERE data_period = {P} AND ((region = 'APJ' AND cost_type = 'C'
@@ -538,6 +545,15 @@ def region_inventory(src: str) -> str:
     return _inventory(src, "part_spl", False)
 
 
+def event_line_inventory(src: str) -> str:
+    base = f"{USED} AND part_qty_demanded > 0 AND {ABROAD}"
+    existing = src if " " in src else f"(SELECT * FROM {src})"
+    return nested(
+        src, lambda s: f"SELECT *, CAST(NULL AS DOUBLE) AS region_inv_costs FROM {existing}",
+        lambda s: share(s, "region_inv_costs", period("region_inventory", "region AS pr, spl, total_inv_cost AS amount"),
+                        {"pr": "region", "spl": "event_spl"}, base, weight="part_qty_demanded", target=base + " AND a.region_inv_costs IS NULL"))
+
+
 def country_inventory(src: str) -> str:
     base = f"{USED} AND part_qty_demanded > 0 AND {ABROAD}"
     sub = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY spl, iso_country_code ORDER BY total_inv_cost DESC, sub_region DESC) rn FROM {period('subregion_inventory')}) WHERE rn = 1)"
@@ -655,6 +671,30 @@ def age_credit(src: str) -> str:
     return nested(src, _credit(NB_NAMED, MAKER, value, note), _credit(IW_NAMED, f"{MAKER} AND {nz('a.credits')}", note="'CCS IW Credit'"))
 
 
+def forecast_older(src: str) -> str:
+    west, apj = f"{WEST} AND a.l2_supplier = 'RRD' AND a.final_disp_flag = 'IW Credit'", f"a.region = 'APJ' AND {low('a.l2_supplier', 'seagate')} AND a.final_disp_flag = 'IW Credit'"
+    maker, unknown = low("a.repair_oem_name", "seagate"), f"(a.part_age IS NULL OR {blank('a.ct_code_label')})"
+    steps = [_credit(NB_NAMED, scope, f"CASE WHEN {mine} AND a.part_age > 3.0 THEN b.cost * 0.5 * -1.0 ELSE b.cost * -1.0 END",
+                     f"CASE WHEN {mine} AND {unknown} THEN 'CCS NB Fcst - Blank Part Age' ELSE 'CCS NB Fcst' END")
+             for scope, mine in ((west, maker), (apj, "TRUE"))]
+    return nested(src, *steps, *[_credit(IW_NAMED, f"{scope} AND {nz('a.credits')}", note="'CCS IW Credit'") for scope in (west, apj)])
+
+
+def kitting_older(src: str) -> str:
+    join = (f"LEFT JOIN kitting_fees b ON a.region = b.region AND a.master_event_activity_month = b.month AND b.data_period = {P} AND "
+            "a.l2_supplier = 'RRD' AND a.final_disp_flag = 'IW Credit'")
+    return updated(src, join, {"credits": "CASE WHEN b.region IS NOT NULL THEN COALESCE(a.credits, 0.0) + b.avg_kitting_fee ELSE a.credits END",
+                               "credit_comments": "CASE WHEN b.region IS NOT NULL THEN 'Supplier Credit' ELSE a.credit_comments END"})
+
+
+def all_others_older(src: str) -> str:
+    other = "a.l2_supplier <> 'RRD' AND COALESCE(a.l2_supplier, '') NOT LIKE 'PCG%'"
+    return nested(
+        src, _credit(IW, f"{WEST} AND {other} AND a.final_disp_flag = 'IW Credit'", note="'Supplier Credit'"),
+        _credit(IW, f"a.region = 'APJ' AND {other} AND lower(a.l2_supplier) <> 'seagate' AND a.final_disp_flag = 'IW Credit'", note="'Supplier Credit'"),
+        _credit(OOW, f"{other} AND a.final_disp_flag = 'OOW Credit'", note="'Supplier Credit'"))
+
+
 def kitting(src: str) -> str:
     join = (f"LEFT JOIN kitting_fees b ON a.region = b.region AND a.master_event_activity_month = b.month AND b.data_period = {P} AND "
             f"{low('a.l2_supplier', 'seagate')} AND a.final_disp_flag = 'IW Credit' AND a.credit_comments IN ('CCS NB Fcst','CCS NB Fcst - Blank Part Age')")

@@ -158,6 +158,22 @@ on_base("part_number_clean", cleaned, ("received_part_kit_part_number", "physica
 plain("latest_return", lambda bed: link.latest_return(bed["dc_returns"], RUN), ("dc_returns",), f"SELECT * EXCLUDE (rn) FROM {O.DCR} b WHERE rn = 1")
 on_base("two_pass_link", lambda bed: link.link_returns(cleaned(bed), bed["dc_returns"], RUN), O.DCR_COLUMNS, ("repairs", "dc_returns"),
         *LINKED, O.link_returns)
+FOLLOWING = R.Period.relative(PERIOD, "199501", "200112", COST_MONTH, "1996-12-15")
+UPLOADED = R.Period.relative(PERIOD, "199501", "200112", "202311", "2023-12-15")
+
+
+def relative_cutoffs(bed: Bed) -> DataFrame:
+    """Tags of returns, RMA rows and repairs in use where the cut-offs follow the cost month; repairs have a later one of their own."""
+    found = {"return": link.latest_return(bed["dc_returns"], FOLLOWING), "rma": link.latest_rma(bed["rma"], FOLLOWING),
+             "repair": link.usable_repairs(bed["repairs"], UPLOADED)}
+    return sources.append_tables(*[df.select(F.lit(name).alias("source"), "flow_tag") for name, df in found.items()])
+
+
+plain("relative_cutoffs", relative_cutoffs, ("dc_returns", "rma", "repairs"), """
+SELECT DISTINCT 'return' AS source, flow_tag FROM dc_returns WHERE disp_location <> 'XXXX' AND report_month <= '199703' AND flow_tag IS NOT NULL
+UNION ALL SELECT DISTINCT 'rma', flow_tag FROM rma WHERE strftime(container_release, '%Y%m') <= '199703' AND flow_tag IS NOT NULL
+UNION ALL SELECT 'repair', flow_tag FROM repairs WHERE record_status IN ('Valid','Warning') AND strftime(upload_date, '%Y%m') <= '202401'
+AND (flow_tag LIKE '%FT%' OR flow_tag LIKE '$T%' OR flow_tag LIKE '0T%')""")
 plain("latest_rma", lambda bed: link.latest_rma(bed["rma"], RUN), ("rma",),
       f"SELECT * EXCLUDE (rn, actual_credit), {num('actual_credit')} FROM {O.RMA} b WHERE rn = 1")
 on_base("rma_link", lambda bed: link.link_rma(link.link_returns(cleaned(bed), bed["dc_returns"], RUN), bed["rma"], RUN),
@@ -175,6 +191,9 @@ SUPPLIER_OUT = ("l1_supplier", "l1_supplier_source", "l2_supplier", "supplier_ty
 on_lines("l1_supplier", lambda lines, bed: supplier.first_assignment(
     supplier.add_supplier_columns(lines), bed["plant_supplier"], bed["disposition_supplier"]), SUPPLIER_OUT,
     ("plant_supplier", "disposition_supplier"), O.empty_suppliers, O.first_assignment, without=SUPPLIER_OUT)
+on_lines("l1_supplier_corrected", lambda lines, bed: supplier.first_assignment(
+    supplier.add_supplier_columns(lines), bed["plant_supplier"], bed["disposition_supplier"], bed["rfc_suppliers"], False), SUPPLIER_OUT,
+    ("plant_supplier", "disposition_supplier", "rfc_suppliers"), O.empty_suppliers, O.corrected_assignment, without=SUPPLIER_OUT)
 plain("latest_vendor_per_part", lambda bed: supplier.contract_vendors(bed["contract_vendor"], PERIOD), ("contract_vendor",),
       f"SELECT * FROM {O.vendors_of('contract_vendor')} b")
 on_lines("vendor_waterfall", lambda lines, bed: supplier.contract_fallback(lines, bed["contract_vendor"], bed["new_buy_vendor"], PERIOD),
@@ -252,16 +271,16 @@ pool("charge_by_tag", charge_by_tag, NPPO, ("tag_charges",), O.by_tag("AME"), O.
 pool("semi_join_pool", lambda lines, v: pools.top_vendors(lines, v, PERIOD), NPPO, ("top_vendors",), O.top_vendors)
 pool("restricted_pool", lambda lines, v: pools.restricted_vendor(lines, v, PERIOD), NPPO, ("top_vendors",), O.restricted)
 pool("per_part_vendor_charge", lambda lines, c: pools.part_charges(lines, c, PERIOD), NPPO, ("part_charges",), O.part_charges)
-pool("credit_pool", lambda lines, c: pools.part_charges(lines, c.filter("vendor = 'SPC'"), PERIOD), NPPO, ("part_charges",),
-     lambda src: O.part_charges(src).replace("FROM part_charges WHERE", "FROM part_charges WHERE vendor = 'SPC' AND"))
+pool("credit_pool", lambda lines, c: pools.part_charges(lines, c, PERIOD), ("region", "l2_supplier", *NPPO), ("part_charges",), O.part_charges)
 pool("three_layer_charge", lambda lines, t, p, a: pools.three_layers(lines, t, p, a, PERIOD), NPPO, ("tag_rates", "part_level", "activity_cost"),
      O.three_layers)
 pool("unit_charge_by_country", lambda lines, v: pools.same_day_charge(lines, v, PERIOD), NPPO, ("top_vendors",), O.same_day)
-pool("region_inventory", lambda lines, i, c: pools.region_inventory(lines.filter("region <> 'AME'"), i, c, PERIOD), ("region_inv_costs",),
-     ("region_inventory", "country_region"), lambda s: f"SELECT * FROM ({s}) WHERE region <> 'AME'" if " " in s else f"SELECT * FROM {s} WHERE region <> 'AME'",
-     O.region_inventory, without=("region_inv_costs",))
+pool("region_inventory", lambda lines, i, c: pools.region_inventory(lines, i, c, PERIOD), ("region", "region_inv_costs"),
+     ("region_inventory", "country_region"), O.region_inventory, without=("region_inv_costs",))
 pool("split_region_inventory", lambda lines, i, c: pools.region_inventory(lines, i, c, PERIOD), ("region_inv_costs",),
      ("region_inventory", "country_region"), O.region_inventory, without=("region_inv_costs",))
+pool("event_line_inventory", lambda lines, i: pools.event_line_inventory(lines, i, PERIOD), ("region_inv_costs",), ("region_inventory",),
+     O.event_line_inventory, without=("region_inv_costs",))
 pool("country_inventory", lambda lines, s, c: pools.country_inventory(lines, s, c, PERIOD), ("country_inv_costs",),
      ("subregion_inventory", "country_inventory_cost"), O.country_inventory)
 pool("tax_alloc", lambda lines, t: pools.taxes(lines, t, PERIOD), ("taxes",), ("country_taxes",), O.taxes, without=("taxes",))
@@ -303,6 +322,9 @@ credit_rules("contract_credit_fallback", credits.contract_fallback_rules, O.cont
 credit_rules("age_credit", credits.age_credit_rules, O.age_credit)
 credit_rules("other_maker_credit", credits.other_maker_rules, O.other_makers)
 credit_rules("all_other_credit", credits.all_other_rules, O.all_others)
+credit_rules("forecast_credit_older", credits.forecast_rules, O.forecast_older)
+credit_rules("all_other_credit_older", lambda: credits.all_other_rules(False), O.all_others_older)
+pool("kitting_fee_older", lambda lines, f: credits.kitting_fee(lines, f, PERIOD, False), CREDIT, ("kitting_fees",), O.kitting_older)
 pool("kitting_fee", lambda lines, f: credits.kitting_fee(lines, f, PERIOD), CREDIT, ("kitting_fees",), O.kitting)
 CONTRACT_STEPS = (O.contract_fallback_credit, O.age_credit, O.kitting, O.other_makers, O.all_others)
 on_lines("contract_credits", lambda lines, bed: credits.contract_credits(lines, averages(bed), bed["kitting_fees"], PERIOD), CREDIT,
@@ -319,19 +341,28 @@ COST_STEPS = (O.standard_costs, O.repair_average, O.first_pass, O.relabel, O.par
 CHARGE_STEPS = (O.variance, O.scrap, O.empty_nppo, O.by_supplier, O.pooled, O.by_tag("AME"), O.top_vendors, O.restricted, O.by_tag("EMEA"),
                 O.part_charges, O.three_layers)
 CREDIT_STEPS = (O.empty_credits, O.virtual_credit, O.priced_credit, *CONTRACT_STEPS, O.orphan, O.cid, O.second_pass, O.at_standard)
+OLDER_CREDITS = (O.contract_fallback_credit, O.forecast_older, O.kitting_older, O.all_others_older)
+OLDER_CREDIT_STEPS = (O.empty_credits, O.virtual_credit, lambda src: O.priced_credit(src, "part_qty_consumed", ""), *OLDER_CREDITS, O.orphan, O.cid,
+                      O.second_pass, O.at_standard)
+OLDER_TOTAL_STEPS = (O.same_day, lambda s: f"SELECT *, CAST(NULL AS DOUBLE) AS country_inv_costs FROM {s}", O.country_inventory, O.event_line_inventory,
+                     O.taxes, O.totals, O.non_event, O.spl_group)
 TOTAL_STEPS = (O.same_day, lambda s: f"SELECT *, CAST(NULL AS DOUBLE) AS country_inv_costs FROM {s}", O.region_inventory, O.taxes, O.totals,
                O.non_event, O.spl_group)
 
 
 def inputs_of(bed: Bed) -> dict[str, DataFrame]:
     bed.store("sale")
-    return {n: bed[n] for n in quarter.INPUTS}
+    return {n: bed[n] for n in (*quarter.INPUTS, *quarter.OPTIONAL_INPUTS)}
 
 
 on_base("full_quarter", lambda bed: quarter.run_quarter(inputs_of(bed), RUN), RUN_OUT, quarter.INPUTS, *LINK_STEPS, *SUPPLIER_STEPS,
         O.final_disposition, *COST_STEPS, *CHARGE_STEPS, *CREDIT_STEPS, *TOTAL_STEPS)
 
 
+on_base("full_quarter_older", lambda bed: quarter.run_quarter(inputs_of(bed), RUN, R.OLDER), RUN_OUT, (*quarter.INPUTS, *quarter.OPTIONAL_INPUTS),
+        *LINK_STEPS, *SUPPLIER_STEPS, O.final_disposition, *COST_STEPS, *CHARGE_STEPS, *OLDER_CREDIT_STEPS, *OLDER_TOTAL_STEPS)
+
+
 def archive_quarter(bed: Bed) -> DataFrame:
     """A costed quarter archived twice beside an older one that keeps all but text columns as text; both read as one table."""
     history = sources.Published(bed.spark, scratch(bed, "history"), "data_period")
@@ -701,6 +732,9 @@ CHECK_OUT = (KEY, "region", "source_system", "event_spl", "part_commodity", "par
 CHECK_INPUTS = ("service_events", "part_master", "product_lines", "activity")
 plain("event_check", lambda bed: checks.event_check(*[bed[n] for n in CHECK_INPUTS]).select(*CHECK_OUT), CHECK_INPUTS,
       f"SELECT {', '.join(CHECK_OUT)} FROM ({EVENT_CHECK})")
+plain("event_check_filtered", lambda bed: checks.event_check(*[bed[n] for n in CHECK_INPUTS], month_range=("199501", "200112")).select(*CHECK_OUT), CHECK_INPUTS,
+      f"""SELECT {', '.join(CHECK_OUT)} FROM ({EVENT_CHECK}) WHERE master_event_activity_month BETWEEN '199501' AND '200112'
+      AND source_system IN ('SFDC','WFM-IM','CSN') AND region <> 'China' AND NOT part_qty_demanded = 0""")
 plain("event_preview", lambda bed: checks.event_preview(checks.event_check(*[bed[n] for n in CHECK_INPUTS]).select(*CHECK_OUT)), CHECK_INPUTS,
       f"SELECT {', '.join(CHECK_OUT)} FROM ({EVENT_CHECK}) ORDER BY unique_link_key LIMIT 10")
 plain("not_in_null_safe", lambda bed: checks.not_in(bed["lines"].select(KEY, "l1_supplier"), "l1_supplier", bed["l2_supplier_map"], "l1_supplier"),

@@ -16,7 +16,8 @@ CHOSEN = (
     "part_age", "scrap_alloc", "per_part_vendor_charge", "three_layer_charge", "country_inventory", "tax_alloc", "virtual_credit",
     "contract_credits", "orphan_credit", "inv_trueup_alloc", "interim_total", "archive_period", "reload_days", "reconcile",
     "duplicate_tags", "event_preview", "archive_quarter", "interim_label", "landing_filtered", "drop_recreate", "refresh_own_target", "stamp_period",
-    "union_months", "charge_by_tag",
+    "union_months", "charge_by_tag", "forecast_credit_older", "kitting_fee_older", "event_line_inventory", "relative_cutoffs", "event_check_filtered",
+    "l1_supplier_corrected",
 )
 
 

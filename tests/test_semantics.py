@@ -66,3 +66,11 @@ def test_division_by_zero_is_null(spark):
 
 def test_region_recode(spark):
     assert value(spark, S.recode_region("r"), r=("AMS", "string")) == "AME"
+
+
+def test_cutoffs_follow_the_cost_month():
+    from sparecost.rules import Period, add_months
+
+    assert [add_months("201611", n) for n in (0, 1, 2, 14, -11)] == ["201611", "201612", "201701", "201801", "201512"]
+    period = Period.relative("2017Q1", "201611", "201701", "201611", "2016-12-15")
+    assert (period.repair_cutoff, period.return_cutoff_month, period.rma_cutoff_month) == ("2017-02-01 00:00:00", "201701", "201701")
