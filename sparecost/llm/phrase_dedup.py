@@ -4,30 +4,53 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from sparecost.llm import grams
 from sparecost.llm.common import Scratch, task
-from sparecost.llm.recurring import grouped, merged_spans, repeated_cells, segments
+from sparecost.llm.recurring import SPANS, given_texts, grouped, merged_spans, repeated_cells, segments, span_batch, with_spans
 
 _BATCH_BYTES = 6 << 20
 WINDOW = 5
 _SPACES = re.compile(rb"[\x20\x09-\x0D]+")
 
 
-def recurring_phrases(texts: list[tuple[int, list[int]]], length: int) -> dict[tuple[int, ...], int]:
-    """Phrases of `length` words that stand in two documents or more, with the smallest; texts come sorted by document."""
-    first: dict = {}
-    found: dict = {}
-    for doc, words in texts:
-        for i in range(len(words) - length + 1):
-            phrase = tuple(words[i:i + length])
-            if first.setdefault(phrase, doc) != doc:
-                found[phrase] = first[phrase]
-    return found
+def recurring_phrases(documents: np.ndarray, texts: list[np.ndarray], length: int) -> dict[tuple[int, ...], int]:
+    """Phrases of `length` words that stand in two documents or more, with the smallest document; texts are word numbers.
+
+    All windows are hashed at once and counted by hash; only those in two documents are looked at as words, one for each
+    phrase. Windows that share a hash are compared word by word with the first of them, and counted on their own if they differ.
+    """
+    words = np.concatenate([*texts, np.zeros(0, np.int64)])
+    sizes = np.array([len(t) for t in texts])
+    of = np.repeat(np.arange(len(texts)), sizes)
+    if len(words) < length:
+        return {}
+    hashes = grams.window_hash(grams.mix(words.astype(np.uint64) + np.uint64(1)), length)
+    at = np.flatnonzero(of[:len(hashes)] == of[length - 1:])
+    at = at[np.lexsort((documents[of[at]], hashes[at]))]
+    owner = documents[of[at]]
+    head = np.flatnonzero(np.concatenate([[True], hashes[at[1:]] != hashes[at[:-1]]])) if len(at) else at
+    size = np.diff(np.concatenate([head, [len(at)]]))
+    last = owner[head + size - 1] if len(head) else head
+    shared = np.flatnonzero(owner[head] != last)  # least document against greatest
+    windows = np.lib.stride_tricks.sliding_window_view(words, length)
+    phrases, other = {}, {}
+    for first, doc in zip(windows[at[head[shared]]].tolist(), owner[head[shared]].tolist()):
+        phrases[tuple(first)] = doc
+    members = np.repeat(shared, size[shared])
+    place = np.repeat(head[shared] - np.cumsum(size[shared]) + size[shared], size[shared]) + np.arange(len(members))
+    for i in range(0, len(place), 1 << 16):
+        own, rep = at[place[i:i + (1 << 16)]], at[head[members[i:i + (1 << 16)]]]
+        for k in np.flatnonzero((windows[own] != windows[rep]).any(axis=1)).tolist():
+            phrase, doc = tuple(windows[own[k]].tolist()), int(owner[place[i + k]])
+            other.setdefault(phrase, []).append(doc)
+    return phrases | {p: min(docs) for p, docs in other.items() if min(docs) != max(docs)}
 
 
 def automaton(phrases: dict[tuple[int, ...], int]):
@@ -39,28 +62,30 @@ def automaton(phrases: dict[tuple[int, ...], int]):
 
 
 def _located(batches, length: int):
+    """One shard of phrases after the other: confirm, compile, and run the texts that the shard's anchors lead to."""
     for rows in grouped(batches, _BATCH_BYTES):
-        spans = [(r[1], r[2], r[2] + r[4]) for r in rows if r[5] is None]
-        numbers: dict[bytes, int] = {}
-        texts = sorted(
-            (r[1], r[2], [numbers.setdefault(w, len(numbers)) for w in r[5].split(b" ")]) for r in rows if r[5] is not None)
-        phrases = recurring_phrases([(doc, words) for doc, _, words in texts], length)
+        spans = [(r[1], r[2], r[3], r[3] + r[5]) for r in rows if r[6] is None]
+        rows = [r for r in rows if r[6] is not None]
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
+        texts = [np.fromiter(map(numbers.__getitem__, r[6].split(b" ")), np.int64) for r in rows]
+        phrases = recurring_phrases(np.array([r[1] for r in rows], np.int64), texts, length) if rows else {}
         if phrases:
             built = automaton(phrases)
-            for doc, start, words in texts:
+            for (_, doc, key, start, *_), words in zip(rows, texts):
                 a = b = -1
-                for end, first in built.iter(tuple(words)):
+                for end, first in built.iter(tuple(words.tolist())):
                     if first < doc:
                         if a >= 0 and end + 1 - length <= b:
                             b = end + 1
                         else:
                             if a >= 0:
-                                spans.append((doc, start + a, start + b))
+                                spans.append((doc, key, start + a, start + b))
                             a, b = end + 1 - length, end + 1
                 if a >= 0:
-                    spans.append((doc, start + a, start + b))
+                    spans.append((doc, key, start + a, start + b))
         if spans:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*spans)], names=["doc_id", "a", "b"])
+            yield span_batch(spans)
 
 
 def _cut(batches, with_text: bool):
@@ -87,21 +112,22 @@ def phrase_dedup(
 ) -> DataFrame:
     """Remove every word covered by a phrase of `length` words that also starts in a document with a smaller doc_id.
 
-    Segments of the documents that may recur are dealt by the anchor of their phrases. Each task confirms the phrases that
-    stand in two documents, compiles the automaton of its share of them, and runs every segment dealt to it through the
-    automaton to locate all occurrences; words are compared themselves and not by hashes.
+    Texts that may recur are dealt by the anchor of their phrases, so a shard of phrases and all texts that can hold them
+    meet in one place. A task goes through its shards: it confirms the phrases that stand in two documents, by vectorised
+    hashes of all windows and a count, compiles the automaton of these phrases, and streams the texts of the shard through it
+    to locate every occurrence. Words are compared themselves there and not by hashes.
 
-    Returns doc_id, n_words, n_removed, kept_sha256 (words left, joined by one space), and with with_text the words.
-    Null and empty texts have no words. A null doc_id takes no part and keeps all words. Rows that share a doc_id should
-    not occur: spans of either are removed from both. No rows give no rows.
+    Returns doc_id, n_words, n_removed, kept_sha256 (words left, joined by one space), and with with_text the words; one row
+    per row given. Null and empty texts have no words; texts may be of any length. A null doc_id takes no part and keeps
+    all words. Rows that share a doc_id, alike or not, are none of them smaller, so they take nothing from each other. Other
+    columns are not read, so their names cannot clash. No rows give no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "phrases")
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
+    given = given_texts(docs, id_col, text_col)
     bitmap = repeated_cells(spark, given, True, length, WINDOW, bits)
     found = segments(given, True, length, WINDOW, bits, bitmap, True)
-    spans = scratch.keep(found.repartition("h").sortWithinPartitions("h").mapInArrow(task(_located, length), "doc_id long, a long, b long"), "spans")
-    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    cut = given.join(listed, "doc_id", "left").mapInArrow(
+    spans = scratch.keep(found.repartition("h").sortWithinPartitions("h").mapInArrow(task(_located, length), SPANS), "spans")
+    cut = with_spans(given, spans).mapInArrow(
         task(_cut, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     return scratch.done(cut if with_text else cut.drop("kept_text"), "spans")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparecost.llm import grams
 from sparecost.llm.common import runs_of, task, text_buffer
@@ -102,10 +103,20 @@ def repeated_cells(spark: SparkSession, docs: DataFrame, words: bool, length: in
     return spark.sparkContext.broadcast(bitmap)
 
 
+def given_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, __text, and __key, which tells rows that share an id apart by their text; equal rows share it and fare alike."""
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("__text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("__key"))
+
+
+SEGMENT = ("h", "doc_id", "key", "start", "anchor", "n", "segment")
+_SCHEMA = "h long, doc_id long, key long, start long, anchor int, n int, segment binary"
+
+
 def _segments(batches, words: bool, length: int, k: int, bits: int, bitmap, other_docs: bool):
     repeated, seen = bitmap.value, {}
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
+        ids, keys = batch.column("doc_id").to_pylist(), batch.column("__key").to_pylist()
         data, offsets = text_buffer(batch.column("__text"))
         for a, b in runs_of(offsets, _SLICE):
             part, at = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
@@ -127,56 +138,72 @@ def _segments(batches, words: bool, length: int, k: int, bits: int, bitmap, othe
                 lo, hi = s0, s1 + length
                 whole = grams.span_hash(grams.prefix_sums(part), lo, hi)
             raw = part.tobytes()
-            rows = []
+            rows, decided = [], {}
             for x, p, first, last, d, u, v, w in zip(*[c.tolist() for c in (h, pos, s0, s1, of, lo, hi, whole)]):
                 doc_id = ids[a + d]
                 if doc_id is None:
                     continue
-                start, key = first - int(origin[d]), (x, w, p - first, last - first)
-                before = seen.get(key)
-                here = doc_id if other_docs else (doc_id, start)
-                if before is not None and before < here:
-                    segment = None
-                else:
-                    seen[key] = here
-                    segment = b" ".join(raw[u:v].split()) if words else raw[u:v]
-                rows.append((x, doc_id, start, p - first, last - first + length, segment))
+                start, name, here = first - int(origin[d]), (x, w, p - first, last - first), (doc_id, keys[a + d])
+                before = seen.get(name)
+                if before is not None and (before[0] < doc_id or (not other_docs and before[:2] == here and before[2] < start)):
+                    decided.setdefault(d, []).append((start, start + last - first + length))
+                    continue
+                if before is None or (*here, start) < before:
+                    seen[name] = (*here, start)
+                rows.append((x, *here, start, p - first, last - first + length, b" ".join(raw[u:v].split()) if words else raw[u:v]))
+            for d, spans in decided.items():
+                here = (ids[a + d], keys[a + d])
+                rows += [(hash((*here, first)) & 0xFFFFFFFFFFFFFFFF, *here, first, 0, last - first, None) for first, last in merged_spans(spans)]
             if len(seen) > 400_000:
                 seen.clear()
             if rows:
-                x, d, s, o, n, segs = zip(*rows)
+                x, *rest, segs = zip(*rows)
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.array(x, np.uint64).view(np.int64)), pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(o, pa.int32()),
-                    pa.array(n, pa.int32()), pa.array(segs, pa.binary())], names=["h", "doc_id", "start", "anchor", "n", "segment"])
+                    pa.array(np.array(x, np.uint64).view(np.int64)), *[pa.array(c, t) for c, t in zip(rest, kinds)], pa.array(segs, pa.binary())],
+                    names=list(SEGMENT))
 
 
 def segments(docs: DataFrame, words: bool, length: int, k: int, bits: int, bitmap, other_docs: bool) -> DataFrame:
-    """One row per anchor that may occur twice: h, doc_id, start (of the first window, in units of the document), anchor
+    """One row per anchor that may occur twice: h, doc_id, key, start (of the first window, in units of the document), anchor
     (distance of the anchor from there), n (units covered), segment (their bytes; words joined by one space).
 
-    Where a task has met the same segment earlier in the order of documents, all windows of the later one are repeats:
-    its segment is null. So a passage in very many documents sends its bytes once per task.
+    Where a task has met the same segment earlier in the order of documents, all windows of the later one are repeats. Such
+    a segment is decided at once: what is decided of a document is merged and sent as spans without a segment, under a hash
+    of their place instead of the anchor's. So a passage in very many documents meets in one place once per task only. The same
+    segment means equal hashes of the anchor and of the whole, 128 bits together; bytes are compared where segments meet.
     """
-    return docs.mapInArrow(
-        task(_segments, words, length, k, bits, bitmap, other_docs), "h long, doc_id long, start long, anchor int, n int, segment binary")
+    return docs.mapInArrow(task(_segments, words, length, k, bits, bitmap, other_docs), _SCHEMA)
 
 
 def grouped(rows, limit: int):
     """Lists of rows of whole anchors, from batches sorted by h, of about `limit` bytes of segments each."""
     held, size, last = [], 0, None
     for batch in rows:
-        columns = [batch.column(c).to_pylist() for c in ("h", "doc_id", "start", "anchor", "n", "segment")]
-        for row in zip(*columns):
+        for row in zip(*[batch.column(c).to_pylist() for c in SEGMENT]):
             if size >= limit and row[0] != last:
                 yield held
                 held, size = [], 0
             held.append(row)
-            size += len(row[5] or b"") + 64
+            size += len(row[6] or b"") + 64
             last = row[0]
     if held:
         yield held
 
 
+SPANS = "doc_id long, key long, a long, b long"
+
+
+def span_batch(spans: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*spans)], names=["doc_id", "key", "a", "b"])
+
+
+def with_spans(given: DataFrame, spans: DataFrame) -> DataFrame:
+    """Documents with the list of their spans. A document has at most as many as it has units, and few once they are merged."""
+    listed = spans.groupBy("doc_id", F.col("key").alias("__key")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return given.join(listed, ["doc_id", "__key"], "left")
+
+
 def merged_spans(spans) -> list[tuple[int, int]]:
     """Overlapping or adjacent ranges as one."""
     out: list[list[int]] = []

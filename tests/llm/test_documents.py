@@ -100,6 +100,69 @@ def test_suffixes(docs, texts):
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == expected
 
 
+def shared_ids(texts):
+    """Repeated rows, rows that share an id with other texts, and null ids, beside the texts."""
+    by = dict(texts)
+    long = "".join(f"{i:03d}" for i in range(120))
+    return texts + [(20, by[20]), (20, by[20]), (7, by[7]), (21, "z " + by[22]), (300, long), (300, long), (300, long + long), (301, long), (None, long), (None, by[20])]
+
+
+def brute_suffixes(rows, length=100):
+    """Per row (id, bytes, removed, runs, hash): a string counts if a smaller id, or the row itself earlier, has it."""
+    least, out = {}, []
+    for i, t in rows:
+        raw = (t or "").encode()
+        for k in range(len(raw) - length + 1) if i is not None else ():
+            w = raw[k:k + length]
+            least[w] = min(least.get(w, i), i)
+    for i, t in rows:
+        raw, own = (t or "").encode(), set()
+        covered = bytearray(len(raw))
+        for k in range(len(raw) - length + 1) if i is not None else ():
+            w = raw[k:k + length]
+            if least[w] < i or w in own:
+                covered[k:k + length] = b"\1" * length
+            own.add(w)
+        rest = bytes(b for b, c in zip(raw, covered) if not c)
+        out.append((i, len(raw), len(raw) - len(rest), len(re.findall(b"\1+", bytes(covered))), hashlib.sha256(rest).hexdigest()))
+    return Counter(out)
+
+
+def test_suffixes_of_rows_that_share_an_id(spark, texts):
+    rows = shared_ids(texts)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix_dedup.suffix_dedup(table, bits=22).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == brute_suffixes(rows)
+
+
+def test_phrases_of_rows_that_share_an_id(spark, texts):
+    rows, least, expected = shared_ids(texts), {}, []
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        for k in range(len(w) - 12) if i is not None else ():
+            least[tuple(w[k:k + 13])] = min(least.get(tuple(w[k:k + 13]), i), i)
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        covered = [False] * len(w)
+        for k in range(len(w) - 12) if i is not None else ():
+            if least[tuple(w[k:k + 13])] < i:
+                covered[k:k + 13] = [True] * 13
+        rest = [x for x, c in zip(w, covered) if not c]
+        expected.append((i, len(w), len(w) - len(rest), hashlib.sha256(" ".join(rest).encode()).hexdigest()))
+    found = phrase_dedup.phrase_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), bits=22).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == Counter(expected)
+
+
+def test_phrases_with_equal_hashes_are_told_apart(monkeypatch):
+    import numpy as np
+
+    from sparecost.llm import grams
+
+    monkeypatch.setattr(grams, "window_hash", lambda values, n: np.zeros(max(0, len(values) - n + 1), np.uint64))
+    texts = [np.array(t) for t in ([1, 2, 3], [4, 1, 2], [9, 9], [2, 3, 4, 1])]
+    assert phrase_dedup.recurring_phrases(np.array([5, 6, 7, 8]), texts, 2) == {(1, 2): 5, (2, 3): 5, (4, 1): 6}
+
+
 def test_phrases(docs, texts):
     first, expected = {}, {}
     for i, t in sorted(texts):
