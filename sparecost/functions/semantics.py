@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,9 +47,18 @@ def not_value(c, value) -> Column:
     return F.coalesce(col(c) != value, F.lit(True))
 
 
+def name_key(c) -> Column:
+    """Names of suppliers, vendors and makers compare, join and group by this: without case and trailing blanks."""
+    return F.lower(F.rtrim(col(c)))
+
+
 def is_named(c, *names) -> Column:
-    """Supplier names compare without case."""
-    return F.lower(col(c)).isin(*[n.lower() for n in names])
+    return name_key(c).isin(*[n.lower() for n in names])
+
+
+def name_starts(c, *prefixes) -> Column:
+    """A name that begins with one of the prefixes; null for a null name."""
+    return reduce(or_, [name_key(c).startswith(p.lower()) for p in prefixes])
 
 
 def zero(c) -> Column:
@@ -69,7 +81,7 @@ def pick_b_over_a(b, a) -> Column:
 # ---- numbers --------------------------------------------------------------------
 
 def exact_sum(c) -> Column:
-    """Sum that does not depend on row order: values are fixed to six decimals first."""
+    """Sum that does not depend on row order: every addend is rounded to six decimals first, money having four."""
     return F.sum(col(c).cast(EXACT)).cast("double")
 
 

@@ -13,7 +13,7 @@ from sparecost.operators.merge import merge_update, unique_source
 
 @dataclass
 class Pool:
-    """Amounts by key. on: {pool column: column of the lines}."""
+    """Amounts by key. on: {pool column: column of the lines, or an expression over them}."""
 
     df: DataFrame
     on: dict
@@ -33,7 +33,7 @@ def rate_by_group(
     """
     totals = (
         lines.filter(base)
-        .groupBy(*[F.col(n).alias(k) for k, n in pool.on.items()])
+        .groupBy(*[col(n).alias(k) for k, n in pool.on.items()])
         .agg(exact_sum(weight).alias("__total"))
     )
     amounts = unique_source(

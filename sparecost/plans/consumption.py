@@ -53,13 +53,13 @@ def second_pass(lines: DataFrame) -> DataFrame:
     new_buy = S.zero("physical_pn_nbs")
     di = {"di_cost": new_buy + credit, "di_credit": physical - new_buy, "cons_cost": physical + credit}
     return rule_cascade(lines, [
-        Rule((supplier == R.DRIVE_SUPPLIER) & (flag == "NFF"), {"cons_cost": F.lit(0.0)}),
+        Rule(S.is_named(supplier, R.DRIVE_SUPPLIER) & (flag == "NFF"), {"cons_cost": F.lit(0.0)}),
         Rule(flag.isin("Non Return", "DMR Drive"), {"cons_cost": rvs + credit}),
         Rule(flag == "Scrap in Central", {"cons_cost": physical}),
         Rule(flag == "Scrap at Supplier", {"cons_cost": physical + credit}),
         Rule(flag.isin(*R.CREDIT_FLAGS), di),
         Rule(flag.isin("Logical Receipt", "Non Return"), {"cons_cost": rvs + credit}),
-        Rule((supplier == "PCG") & (flag == "NFF"), di),
+        Rule(S.is_named(supplier, "PCG") & (flag == "NFF"), di),
     ])
 
 

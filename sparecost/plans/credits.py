@@ -70,7 +70,7 @@ def priced_credit(lines: DataFrame, prices: DataFrame, period: str, by_consumed:
         (flag.isin(*R.CREDIT_FLAGS) & (commodity == R.MEMORY)) | ((flag == "IW Credit") & (commodity == R.PROCESSOR))
         | ((flag == "NFF") & commodity.isin(R.PROCESSOR, R.MEMORY)) | (flag == "Scrap at Supplier")
     )
-    scope = F.col("l2_supplier").startswith("PCG") & flag.isin(*R.PRICED_FLAGS)
+    scope = S.name_starts("l2_supplier", "PCG") & flag.isin(*R.PRICED_FLAGS)
     if not by_consumed:
         scope = scope & (F.col("part_qty_received") == 1)
     return merge_update(
@@ -152,7 +152,7 @@ def _west() -> Column:
 def contract_fallback_rules() -> list[Rule]:
     """Contract averages where priced suppliers have no credit yet, or one that is not negative."""
     open_credit = F.col("credits").isNull() | (F.col("credits") > 0)
-    priced = F.col("l2_supplier").startswith("PCG")
+    priced = S.name_starts("l2_supplier", "PCG")
 
     def fallback(name, flags, label):
         return Rule(
@@ -167,7 +167,7 @@ def contract_fallback_rules() -> list[Rule]:
 
 
 def _maker_line() -> Column:
-    west = _west() & (F.col("l2_supplier") == R.DRIVE_SUPPLIER) & S.is_named("repair_oem_name", R.DRIVE_MAKER)
+    west = _west() & S.is_named("l2_supplier", R.DRIVE_SUPPLIER) & S.is_named("repair_oem_name", R.DRIVE_MAKER)
     apj = (F.col("region") == "APJ") & S.is_named("l2_supplier", R.DRIVE_MAKER)
     return (west | apj) & _flag("IW Credit")
 
@@ -190,7 +190,7 @@ def forecast_rules() -> list[Rule]:
     """Older variant, one rule for the drive supplier's lines of any maker (APJ: the named maker's): forecast cost, half of it
     for old parts of the named maker; then the contract where still open."""
     age, maker = F.col("part_age"), S.is_named("repair_oem_name", R.DRIVE_MAKER)
-    west = _west() & (F.col("l2_supplier") == R.DRIVE_SUPPLIER) & _flag("IW Credit")
+    west = _west() & S.is_named("l2_supplier", R.DRIVE_SUPPLIER) & _flag("IW Credit")
     apj = (F.col("region") == "APJ") & S.is_named("l2_supplier", R.DRIVE_MAKER) & _flag("IW Credit")
     unknown = age.isNull() | S.is_blank("ct_code_label")
 
@@ -214,7 +214,7 @@ def kitting_fee(lines: DataFrame, fees: DataFrame, period: str, maker_credits: b
     if maker_credits:
         scope = S.is_named("l2_supplier", R.DRIVE_MAKER) & F.col("credit_comments").isin(_FORECAST, _FORECAST_BLANK)
     else:
-        scope = F.col("l2_supplier") == R.DRIVE_SUPPLIER
+        scope = S.is_named("l2_supplier", R.DRIVE_SUPPLIER)
     current = fees.filter(F.col("data_period") == period).select("region", "month", "avg_kitting_fee")
     values = {"credits": S.zero("credits") + F.col("src_avg_kitting_fee").cast("double")}
     if not maker_credits:
@@ -226,7 +226,7 @@ def kitting_fee(lines: DataFrame, fees: DataFrame, period: str, maker_credits: b
 
 def other_maker_rules() -> list[Rule]:
     """Drives of other makers: forecast, then contract; APJ has its own list of suppliers."""
-    west = _west() & (F.col("l2_supplier") == R.DRIVE_SUPPLIER) & ~S.is_named("repair_oem_name", R.DRIVE_MAKER)
+    west = _west() & S.is_named("l2_supplier", R.DRIVE_SUPPLIER) & ~S.is_named("repair_oem_name", R.DRIVE_MAKER)
     apj = (F.col("region") == "APJ") & S.is_named("l2_supplier", *R.APJ_DRIVE_SUPPLIERS)
     warranty = {"credits": _minus("iw_org"), "credit_comments": F.lit(_IN_WARRANTY)}
     return [
@@ -250,8 +250,8 @@ def all_other_rules(maker_credits: bool = True) -> list[Rule]:
         elsewhere = {"iw": _west(), "oow": ~apj}
     return [
         Rule(
-            ((elsewhere[name] & (supplier != R.DRIVE_SUPPLIER)) | (apj & ~S.is_named(supplier, *named[name])))
-            & ~supplier.startswith("PCG") & _flag(flag) & _has(name),
+            ((elsewhere[name] & ~S.is_named(supplier, R.DRIVE_SUPPLIER)) | (apj & ~S.is_named(supplier, *named[name])))
+            & ~S.name_starts(supplier, "PCG") & _flag(flag) & _has(name),
             {"credits": _minus(name), "credit_comments": F.lit(_SUPPLIER)})
         for name, flag in (("iw", "IW Credit"), ("oow", "OOW Credit"))
     ]

@@ -26,15 +26,15 @@ def _attach_lookups(lines: DataFrame, tag_flag: DataFrame, tag_vendor: DataFrame
         lines, tag_vendor.filter(current).select("flow_tag", "final_disposition"), by_tag(lines),
         {"vendor_flag": "final_disposition", "vendor_flag_hit": yes}, where=apj
     )
-    table = flag_rules.select("supplier", "repair_disposition", "repair_warranty_status", "final_disp_flag")
+    table = flag_rules.select(S.name_key("supplier").alias("supplier"), "repair_disposition", "repair_warranty_status", "final_disp_flag")
     west = F.col("region").isin("AME", "EMEA")
     for name, key, allowed in (("type", "supplier_type", R.FLAG_SUPPLIER_TYPES), ("l2", "l2_supplier", R.FLAG_SUPPLIERS)):
         lines = merge_update(
             lines, table,
-            {"supplier": key, "repair_disposition": "repair_disposition",
+            {"supplier": S.name_key(key), "repair_disposition": "repair_disposition",
              "repair_warranty_status": "repair_warranty_status"},
             {f"{name}_flag": F.col("src_final_disp_flag"), f"{name}_flag_hit": yes},
-            where=west & F.col(key).isin(*allowed)
+            where=west & S.is_named(key, *allowed)
         )
     return lines
 
@@ -55,7 +55,7 @@ def final_disposition(
     apj, west = region == "APJ", region.isin("AME", "EMEA")
     supplier, repair, warranty = F.col("l2_supplier"), F.col("repair_disposition"), F.col("repair_warranty_status")
     returned, code = F.col("dcr_disposition"), F.col("actual_disposition")
-    credit_supplier = apj & S.starts_with_any(supplier, R.CREDIT_SUPPLIER_PREFIXES)
+    credit_supplier = apj & F.coalesce(S.name_starts(supplier, *R.CREDIT_SUPPLIER_PREFIXES), F.lit(False))
     physical = receipt == R.PHYSICAL_RECEIPT
 
     def rule(when, value, reads=False):
@@ -83,7 +83,7 @@ def final_disposition(
     lines = merge_update(lines, code_remap, ["region", FLAG], {FLAG: "correct_disposition"})
     lines = rule_cascade(lines, [
         rule(west & (receipt == R.LOGICAL_RECEIPT) & (code == R.LOGICAL_CODE), "Logical Receipt"),
-        rule((region != "APJ") & supplier.isin("RRD", "PCG") & (repair == "NFF") & physical, "NFF"),
+        rule((region != "APJ") & S.is_named(supplier, "RRD", "PCG") & (repair == "NFF") & physical, "NFF"),
         rule((region != "APJ") & (repair == "Process Scrapped") & physical, "Scrap at Supplier"),
         rule(west & code.isin(*R.SCRAP_CODES), "Scrap in Central"),
         rule(F.col("type_flag_hit"), F.col("type_flag")),

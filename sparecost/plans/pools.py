@@ -23,6 +23,11 @@ def _period(df: DataFrame, period: str) -> DataFrame:
     return df.filter(F.col("data_period") == period)
 
 
+def _by_name(pool: DataFrame, name: str, amount: str, of: str = "l2_supplier") -> Pool:
+    """A pool whose key is a name; two spellings of one name in it are two rows for one key, which fails the job."""
+    return Pool(pool.withColumn(name, S.name_key(name)), {name: S.name_key(of)}, amount)
+
+
 # ---- standard variance and defective scrap -------------------------------------------
 
 def variance(lines: DataFrame, actuals: DataFrame, period: str, sums_from: DataFrame | None = None) -> DataFrame:
@@ -82,7 +87,7 @@ def scrap_audit(lines: DataFrame, valued: DataFrame, period: str) -> DataFrame:
 def charge_by_supplier(lines: DataFrame, spend: DataFrame, period: str, sums_from: DataFrame | None = None) -> DataFrame:
     """APJ: spend of a supplier over its lines; the pooled payers are left to pooled_suppliers."""
     base = (F.col("region") == "APJ") & outside_excluded() & tag_in_use()
-    pool = Pool(_period(spend, period), {"supplier": "l2_supplier"}, "spend")
+    pool = _by_name(_period(spend, period), "supplier", "spend")
     return allocate_pool(
         _add(lines, ["nppo_cost"]), pool, QTY, "nppo_cost", base=base,
         target=base & ~S.is_named("l2_supplier", *R.POOLED_PAYERS), sums_from=sums_from
@@ -115,20 +120,20 @@ def charge_by_tag(lines: DataFrame, charges: DataFrame, region: str, period: str
 def top_vendors(lines: DataFrame, vendors: DataFrame, period: str, sums_from: DataFrame | None = None) -> DataFrame:
     """AME: charge of each listed vendor over its lines, but for the two with rules of their own."""
     pool = _period(vendors, period).filter(
-        ~F.col("vendor").isin(R.DRIVE_SUPPLIER, R.SAME_DAY_SUPPLIER) & F.col("vendor").isNotNull()
+        ~S.is_named("vendor", R.DRIVE_SUPPLIER, R.SAME_DAY_SUPPLIER)
     )
     return allocate_pool(
-        _add(lines, ["nppo_cost"]), Pool(pool, {"vendor": "l2_supplier"}, "nppo"), QTY, "nppo_cost",
+        _add(lines, ["nppo_cost"]), _by_name(pool, "vendor", "nppo"), QTY, "nppo_cost",
         base=(F.col("region") == "AME") & tag_in_use(), sums_from=sums_from
     )
 
 
 def restricted_vendor(lines: DataFrame, vendors: DataFrame, period: str, sums_from: DataFrame | None = None) -> DataFrame:
     """AME: one vendor's charge over its lines with the listed dispositions."""
-    pool = _period(vendors, period).filter(F.col("vendor") == R.DRIVE_SUPPLIER)
+    pool = _period(vendors, period).filter(S.is_named("vendor", R.DRIVE_SUPPLIER))
     base = (F.col("region") == "AME") & tag_in_use() & F.col("final_disp_flag").isin(*R.RESTRICTED_FLAGS)
     return allocate_pool(
-        _add(lines, ["nppo_cost"]), Pool(pool, {"vendor": "l2_supplier"}, "nppo"), QTY, "nppo_cost", base=base, sums_from=sums_from
+        _add(lines, ["nppo_cost"]), _by_name(pool, "vendor", "nppo"), QTY, "nppo_cost", base=base, sums_from=sums_from
     )
 
 
@@ -137,9 +142,9 @@ def charge_vendor() -> Column:
     supplier = F.col("l2_supplier")
     vendor = F.when(F.lit(False), F.lit(""))
     for name, prefix in R.PART_CHARGE_PREFIXES.items():
-        vendor = vendor.when(supplier.startswith(prefix), F.lit(name))
+        vendor = vendor.when(S.name_starts(supplier, prefix), F.lit(name))
     for name, full in R.PART_CHARGE_NAMES.items():
-        vendor = vendor.when(supplier == full, F.lit(name))
+        vendor = vendor.when(S.is_named(supplier, full), F.lit(name))
     return vendor
 
 
@@ -184,7 +189,7 @@ def three_layers(
     quantity. The sum goes to lines whose repair is in use; a tag in use has one line, so the
     write-back by tag needs no join.
     """
-    base = (F.col("region") == "EMEA") & (F.col("l2_supplier") == R.DRIVE_SUPPLIER) & tag_in_use()
+    base = (F.col("region") == "EMEA") & S.is_named("l2_supplier", R.DRIVE_SUPPLIER) & tag_in_use()
     used = F.col(QTY) > 0
     columns = lines.columns if "nppo_cost" in lines.columns else [*lines.columns, "nppo_cost"]
     lines = _add(lines, ["nppo_cost"])
@@ -211,15 +216,15 @@ def three_layers(
 
 def same_day_charge(lines: DataFrame, vendors: DataFrame, period: str, sums_from: DataFrame | None = None) -> DataFrame:
     """One vendor's charge per unit over its same-day lines in two countries."""
-    pool = _period(vendors, period).filter(F.col("vendor") == R.SAME_DAY_SUPPLIER).select(
+    pool = _period(vendors, period).filter(S.is_named("vendor", R.SAME_DAY_SUPPLIER)).select(
         F.lit(R.SAME_DAY_SUPPLIER_L1).alias("supplier"), "nppo"
     )
     base = (
-        F.col("event_country_iso_cd").isin(*R.SAME_DAY_COUNTRIES) & (F.col("l1_supplier") == R.SAME_DAY_SUPPLIER_L1)
+        F.col("event_country_iso_cd").isin(*R.SAME_DAY_COUNTRIES) & S.is_named("l1_supplier", R.SAME_DAY_SUPPLIER_L1)
         & (F.col("part_actual_sl") == R.SAME_DAY_LEVEL) & (F.col(QTY) != 0)
     )
     return allocate_pool(
-        _add(lines, ["nppo_cost"]), Pool(pool, {"supplier": "l1_supplier"}, "nppo"), QTY, "nppo_cost", base=base, sums_from=sums_from
+        _add(lines, ["nppo_cost"]), _by_name(pool, "supplier", "nppo", "l1_supplier"), QTY, "nppo_cost", base=base, sums_from=sums_from
     )
 
 

@@ -27,11 +27,15 @@ INPUTS = (
 OPTIONAL_INPUTS = ("rfc_suppliers", "subregion_inventory", "country_inventory_cost")
 
 
-def linked(inputs: dict[str, DataFrame], period: R.Period) -> DataFrame:
-    lines = event_base(
+def based(inputs: dict[str, DataFrame], period: R.Period) -> DataFrame:
+    return event_base(
         inputs["service_events"], inputs["part_master"], inputs["product_lines"], inputs["returns"],
         inputs["activity"], period,
     )
+
+
+def linked(lines: DataFrame, inputs: dict[str, DataFrame], period: R.Period) -> DataFrame:
+    """Needs stored lines: the line that keeps a tag's repair is found in them first."""
     patches = {"AME": [inputs["patches_ame"], inputs["patches_ame_b"]], "EMEA": [inputs["patches_emea"], inputs["patches_emea_b"]]}
     return link(lines, inputs["repairs"], inputs["dc_returns"], inputs["rma"], patches, period)
 
@@ -110,9 +114,9 @@ def run_quarter(
     """
     period, options = period or R.Period(), options or R.Options()
     stages = stages or Stages(next(iter(inputs.values())).sparkSession)
-    lines = stages.end("linked", lambda: linked(inputs, period))
+    lines = stages.end("base", lambda: based(inputs, period))
     steps = {
-        "classified": lambda df: classified(df, inputs, period, options), "costed": lambda df: costed(df, inputs, period),
+        "classified": lambda df: classified(linked(df, inputs, period), inputs, period, options), "costed": lambda df: costed(df, inputs, period),
         "charged": lambda df: charged(df, inputs, period), "credited": lambda df: credited(df, inputs, period, options),
     }
     for name, step in steps.items():

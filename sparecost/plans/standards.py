@@ -110,7 +110,7 @@ def part_age(lines: DataFrame, week_codes: DataFrame, mid_quarter: str) -> DataF
     """Manufacture date from characters 10-11 of a 14-character label, and age in years at mid-quarter."""
     label = F.col("ct_code_label")
     drives = (
-        F.col("region").isin("AME", "EMEA") & (F.col("l2_supplier") == R.DRIVE_SUPPLIER)
+        F.col("region").isin("AME", "EMEA") & S.is_named("l2_supplier", R.DRIVE_SUPPLIER)
         & S.is_named("repair_oem_name", R.DRIVE_MAKER)
     ) | ((F.col("region") == "APJ") & S.is_named("l2_supplier", R.DRIVE_MAKER))
     scope = (S.text_length(label) == 14) & (F.col("receipt_type") == R.PHYSICAL_RECEIPT) & drives

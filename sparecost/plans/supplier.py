@@ -36,8 +36,8 @@ def first_assignment(
     if not strict and rfc_suppliers is not None:
         kind = F.when(S.not_blank("src_supplier_type"), F.col("src_supplier_type")).otherwise(F.lit("Repair"))
         lines = merge_update(
-            lines, rfc_suppliers.select(F.col("l1_supplier_name").alias("name"), "supplier_type"),
-            {"name": "l1_supplier"}, {"supplier_type": kind}, where=F.col("region") == "APJ"
+            lines, rfc_suppliers.select(S.name_key("l1_supplier_name").alias("name"), "supplier_type"),
+            {"name": S.name_key("l1_supplier")}, {"supplier_type": kind}, where=F.col("region") == "APJ"
         )
     found = {"l1_supplier": "l1_supplier_name", "supplier_type": "supplier_type"}
     lines = merge_update(
@@ -105,13 +105,13 @@ def second_level(lines: DataFrame, l2_map: DataFrame, period: str) -> DataFrame:
     """
     # EMEA suppliers from new-buy contracts are assigned after the forced type
     assigned_later = (F.col("region") == "EMEA") & ~S.not_value("l1_supplier_source", "CCS NB")
-    named_rfc = (F.col("l1_supplier") == R.RFC_SUPPLIER) & ~assigned_later
+    named_rfc = S.is_named("l1_supplier", R.RFC_SUPPLIER) & ~assigned_later
     mapped = l2_map.filter(
         (F.col("data_period") == period) & F.col("l1_supplier").isNotNull()
-        & ((F.col("region") == "APJ") | (F.col("l1_supplier") != R.ALL_ELSE))
-    ).select("region", "l1_supplier", "l2_supplier", F.col("supplier_type").alias("kind"), F.lit(True).alias("mapped"))
+        & ((F.col("region") == "APJ") | ~S.is_named("l1_supplier", R.ALL_ELSE))
+    ).select("region", S.name_key("l1_supplier").alias("name"), "l2_supplier", F.col("supplier_type").alias("kind"), F.lit(True).alias("mapped"))
     lines = merge_update(
-        lines.withColumn("mapped", F.lit(False)), mapped, ["region", "l1_supplier"],
+        lines.withColumn("mapped", F.lit(False)), mapped, {"region": "region", "name": S.name_key("l1_supplier")},
         {"l2_supplier": "l2_supplier", "supplier_type": "kind", "mapped": "mapped"}
     )
     stands = ~F.col("mapped") & F.col("region").isin("AME", "EMEA") & F.col("l1_supplier").isNotNull()

@@ -332,6 +332,38 @@ on_lines("contract_credits", lambda lines, bed: credits.contract_credits(lines,
 pool("orphan_credit", lambda lines, o: credits.orphan_credit(lines, o, PERIOD), CREDIT, ("orphan_receipts",), O.orphan)
 on_lines("cid_credit", lambda lines, bed: credits.cid_credit(lines), CREDIT, (), O.cid)
 
+# ---- names in other spellings ----------------------------------------------------------------------------------
+
+
+def respelled(df: DataFrame, *columns: str, by: str | None = None) -> DataFrame:
+    """Names in upper or lower case and with trailing blanks; they still name the same supplier."""
+    case = F.pmod(F.xxhash64(by), F.lit(3)) if by else F.lit(1)
+    return df.withColumns({c: F.when(case == 0, F.col(c)).when(case == 1, F.concat(F.lower(c), F.lit("  "))).otherwise(F.upper(c)) for c in columns})
+
+
+def charges_of_any_spelling(lines: DataFrame, bed: Bed) -> DataFrame:
+    """All supplier charges, with names spelled otherwise in lines and masters: the amounts are those of the plain names."""
+    stored = lines = stage_end(respelled(lines, "l1_supplier", "l2_supplier", by=KEY))
+    spend, vendors = respelled(bed["supplier_spend"], "supplier"), respelled(bed["top_vendors"], "vendor")
+    lines = pools.pooled_suppliers(pools.charge_by_supplier(lines, spend, PERIOD, stored), spend, PERIOD, stored)
+    lines = pools.restricted_vendor(pools.top_vendors(lines, vendors, PERIOD, stored), vendors, PERIOD, stored)
+    lines = pools.part_charges(lines, bed["part_charges"], PERIOD, stored)
+    lines = pools.three_layers(lines, bed["tag_rates"], bed["part_level"], bed["activity_cost"], PERIOD, stored)
+    return consumption.second_pass(pools.same_day_charge(lines, vendors, PERIOD, stored))
+
+
+on_lines("charges_any_spelling", charges_of_any_spelling, ("nppo_cost", "cons_cost"),
+         ("supplier_spend", "top_vendors", "part_charges", "tag_rates", "part_level", "activity_cost"),
+         O.by_supplier, O.pooled, O.top_vendors, O.restricted, O.part_charges, O.three_layers, O.same_day, O.second_pass)
+on_lines("credits_any_spelling", lambda lines, bed: credits.contract_credits(
+    respelled(lines, "l2_supplier", "repair_oem_name", by=KEY), averages(bed), bed["kitting_fees"], PERIOD), CREDIT,
+    (*AVERAGE_INPUTS, "kitting_fees"), *CONTRACT_STEPS)
+on_lines("suppliers_any_spelling", lambda lines, bed: disposition.final_disposition(
+    supplier.second_level(respelled(lines, "l1_supplier", by=KEY), respelled(bed["l2_supplier_map"], "l1_supplier", "l2_supplier"), PERIOD),
+    bed["tag_flag"], bed["tag_vendor"], bed["code_remap"], respelled(bed["flag_rules"], "supplier"), PERIOD).withColumn(
+        "l2_supplier", S.name_key("l2_supplier")), ("final_disp_flag", "supplier_type", "l2_supplier"), ("l2_supplier_map", *FLAG_INPUTS),
+    O.second_level, O.final_disposition, lambda src: f"SELECT * REPLACE (lower(rtrim(l2_supplier)) AS l2_supplier) FROM {src}", without=("final_disp_flag",))
+
 # ---- the whole quarter --------------------------------------------------------------------------------------
 
 RUN_OUT = tuple(c for c in ARCHIVE_COLUMNS if c != KEY)
