@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -15,20 +16,20 @@ from sparecost.llm import grams
 from sparecost.llm.common import Scratch, task
 from sparecost.llm.recurring import SPANS, given_texts, grouped, merged_spans, repeated_cells, segments, span_batch, with_spans
 
-_BATCH_BYTES = 6 << 20
+_BATCH_BYTES = 1 << 18
 WINDOW = 5
 _SPACES = re.compile(rb"[\x20\x09-\x0D]+")
 
 
-def recurring_phrases(documents: np.ndarray, texts: list[np.ndarray], length: int) -> dict[tuple[int, ...], int]:
-    """Phrases of `length` words that stand in two documents or more, with the smallest document; texts are word numbers.
+def recurring_phrases(documents: np.ndarray, words: np.ndarray, ends: np.ndarray, length: int) -> dict[tuple[int, ...], int]:
+    """Phrases of `length` words that stand in two documents or more, with the smallest document.
+
+    words are the numbers of the words of all texts, one text after the other; ends tells where each text ends.
 
     All windows are hashed at once and counted by hash; only those in two documents are looked at as words, one for each
     phrase. Windows that share a hash are compared word by word with the first of them, and counted on their own if they differ.
     """
-    words = np.concatenate([*texts, np.zeros(0, np.int64)])
-    sizes = np.array([len(t) for t in texts])
-    of = np.repeat(np.arange(len(texts)), sizes)
+    of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
     if len(words) < length:
         return {}
     hashes = grams.window_hash(grams.mix(words.astype(np.uint64) + np.uint64(1)), length)
@@ -53,10 +54,28 @@ def recurring_phrases(documents: np.ndarray, texts: list[np.ndarray], length: in
     return phrases | {p: min(docs) for p, docs in other.items() if min(docs) != max(docs)}
 
 
-def automaton(phrases: dict[tuple[int, ...], int]):
-    built = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for phrase, doc in phrases.items():
-        built.add_word(phrase, doc)
+class Letters:
+    """Words as pairs of letters, so that a node of an automaton has few children: their number is searched one by one.
+
+    The first letters and the second letters of words do not overlap, so a match begins and ends with a word.
+    """
+
+    def __init__(self, words: int):
+        self.base = max(2, int(np.ceil(np.sqrt(max(1, words)))))
+
+    def text(self, words: np.ndarray) -> str:
+        pairs = np.empty((len(words), 2), "<u4")
+        pairs[:, 0], pairs[:, 1] = words // self.base, self.base + words % self.base
+        return pairs.tobytes().decode("utf-32-le")
+
+
+def automaton(phrases: dict[tuple[int, ...], int], letters: Letters):
+    built = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+    if phrases:
+        length = len(next(iter(phrases)))
+        every = letters.text(np.fromiter((w for p in phrases for w in p), np.int64, length * len(phrases)))
+        for i, doc in enumerate(phrases.values()):
+            built.add_word(every[2 * length * i:2 * length * (i + 1)], doc)
     built.make_automaton()
     return built
 
@@ -68,22 +87,27 @@ def _located(batches, length: int):
         rows = [r for r in rows if r[6] is not None]
         numbers: defaultdict[bytes, int] = defaultdict()
         numbers.default_factory = numbers.__len__
-        texts = [np.fromiter(map(numbers.__getitem__, r[6].split(b" ")), np.int64) for r in rows]
-        phrases = recurring_phrases(np.array([r[1] for r in rows], np.int64), texts, length) if rows else {}
+        words = [r[6].split(b" ") for r in rows]
+        ends = np.cumsum([len(w) for w in words])
+        flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), np.int64, int(ends[-1]) if rows else 0)
+        phrases = recurring_phrases(np.array([r[1] for r in rows], np.int64), flat, ends, length) if rows else {}
         if phrases:
-            built = automaton(phrases)
-            for (_, doc, key, start, *_), words in zip(rows, texts):
+            letters = Letters(len(numbers))
+            built, text, at = automaton(phrases, letters), letters.text(flat), 0
+            for (_, doc, key, start, *_), end in zip(rows, ends.tolist()):
                 a = b = -1
-                for end, first in built.iter(tuple(words.tolist())):
+                for last, first in built.iter(text[2 * at:2 * end]):
                     if first < doc:
-                        if a >= 0 and end + 1 - length <= b:
-                            b = end + 1
+                        close = (last + 1) // 2
+                        if a >= 0 and close - length <= b:
+                            b = close
                         else:
                             if a >= 0:
                                 spans.append((doc, key, start + a, start + b))
-                            a, b = end + 1 - length, end + 1
+                            a, b = close - length, close
                 if a >= 0:
                     spans.append((doc, key, start + a, start + b))
+                at = end
         if spans:
             yield span_batch(spans)
 

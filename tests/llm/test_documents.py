@@ -159,8 +159,11 @@ def test_phrases_with_equal_hashes_are_told_apart(monkeypatch):
     from sparecost.llm import grams
 
     monkeypatch.setattr(grams, "window_hash", lambda values, n: np.zeros(max(0, len(values) - n + 1), np.uint64))
-    texts = [np.array(t) for t in ([1, 2, 3], [4, 1, 2], [9, 9], [2, 3, 4, 1])]
-    assert phrase_dedup.recurring_phrases(np.array([5, 6, 7, 8]), texts, 2) == {(1, 2): 5, (2, 3): 5, (4, 1): 6}
+    words, ends = np.array([1, 2, 3, 4, 1, 2, 9, 9, 2, 3, 4, 1]), np.array([3, 6, 8, 12])
+    phrases = phrase_dedup.recurring_phrases(np.array([5, 6, 7, 8]), words, ends, 2)
+    assert phrases == {(1, 2): 5, (2, 3): 5, (4, 1): 6}
+    letters = phrase_dedup.Letters(10)
+    assert [(end, doc) for end, doc in phrase_dedup.automaton(phrases, letters).iter(letters.text(words))] == [(3, 5), (5, 5), (9, 6), (11, 5), (19, 5), (23, 6)]
 
 
 def test_phrases(docs, texts):
