@@ -7,6 +7,7 @@ import bisect
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from sparecost.llm.common import Scratch, task
 
 _CACHED = 800_000
+_JOINED = 1000
 #: a space before other white space or at the end: such a text is encoded as a whole
 _ODD_SPACE = re.compile(r" (?=\s|$)")
 _tokenizers: dict = {}
@@ -24,7 +26,8 @@ class WordEncoder:
 
     A byte-level BPE of this kind never joins what stands before a space with what follows it, so the ids of a text are
     those of its words, each with the space before it. Words that were met before are taken from a cache that is emptied
-    when full. Texts with other runs of white space, or with the name of a special token, are encoded as a whole.
+    when full; new ones are encoded many at once, as one text that is cut where an id begins with a space. Texts with other
+    runs of white space, or with the name of a special token, are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -33,6 +36,24 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict = {}
+        # a byte-level vocabulary spells a space as the letter that stands for byte 32
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.begins[[i for piece, i in self.tokenizer.get_vocab().items() if piece[0] == chr(256 + 32)]] = True
+
+    def _new(self, words: list[str]) -> list[bytes]:
+        """Ids of words with the space before each; `_JOINED` words are one text."""
+        found = []
+        texts = [" " + " ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)]
+        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            own = words[k * _JOINED:(k + 1) * _JOINED]
+            ids = np.array(e.ids, np.uint32)
+            cuts = np.flatnonzero(self.begins[ids])
+            if len(cuts) != len(own):  # a vocabulary that joins spaces otherwise
+                found += self._ids([f" {w}" for w in own])
+                continue
+            raw, ends = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
+            found += [raw[a:b] for a, b in zip([0, *ends], ends)]
+        return found
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -50,7 +71,7 @@ class WordEncoder:
         for words in split.values():
             new.update(words[1:])
         new = [w for w in new if w not in self.cache]
-        self.cache.update(zip(new, self._ids([f" {w}" for w in new])))
+        self.cache.update(zip(new, self._new(new)))
         found = dict(zip(whole, self._ids([texts[i] for i in whole])))
         found |= dict(zip(split, self._ids([words[0] for words in split.values()])))
         get = self.cache.__getitem__
