@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -64,6 +65,11 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver collects."""
+        gc.collect()
+        self.spark.sparkContext._jvm.java.lang.System.gc()
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")

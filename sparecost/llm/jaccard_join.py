@@ -86,6 +86,11 @@ def _least(percent: int) -> int:
     return -(-percent // (100 - percent))
 
 
+def _name(keys: np.ndarray) -> bytes:
+    """A set is named by 128 bits of its elements, so that no two sets of a corpus are expected to share a name."""
+    return hashlib.blake2b(keys.tobytes(), digest_size=16).digest()
+
+
 def _postings(batches, words: int, percent: int, boundary: int, ranks: np.ndarray):
     seen = set()
     pairs: dict = {}
@@ -95,7 +100,7 @@ def _postings(batches, words: int, percent: int, boundary: int, ranks: np.ndarra
         node, size, lists, signatures, places = [], [], [0], [], []
         for i, keys in _sets(batch.column("__text"), words, ranks):
             n, count = len(keys), 0
-            own = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True) if n else None
+            own = _name(keys) if n else None
             if n >= _least(percent) and known[i] and own not in seen:
                 seen.add(own)
                 if n < boundary:
@@ -116,7 +121,7 @@ def _postings(batches, words: int, percent: int, boundary: int, ranks: np.ndarra
         flat = np.concatenate(signatures).view(np.int64) if signatures else np.zeros(0, np.int64)
         place = np.concatenate(places) if places else np.zeros(0, np.int32)
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.ListArray.from_arrays(at, pa.array(flat)),
+            [ids, pa.array(node, pa.binary()), pa.array(size, pa.int32()), pa.ListArray.from_arrays(at, pa.array(flat)),
              pa.ListArray.from_arrays(at, pa.array(place))], names=["doc_id", "node", "n", "signatures", "places"])
 
 
@@ -125,13 +130,13 @@ def _elements(batches, words: int, ranks: np.ndarray):
         wanted = batch.column("node").to_pylist()
         node, found = [], []
         for i, keys in _sets(batch.column("__text"), words, ranks):
-            own = int.from_bytes(hashlib.blake2b(keys.tobytes(), digest_size=8).digest(), "little", signed=True)
+            own = _name(keys)
             if own == wanted[i]:
                 node.append(own), found.append(keys.view(np.int64))
         at = np.concatenate([[0], np.cumsum([len(k) for k in found])]).astype(np.int32)
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(node, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=["node", "keys"])
+            [pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=["node", "keys"])
 
 
 def _can_reach(percent: int, left: str, right: str) -> Column:
@@ -158,8 +163,8 @@ def jaccard_components(
     unless given) enumerate the pairs of their prefix, larger ones go through the list of each element of theirs; both
     find every pair that reaches the similarity. On each list all sets are first compared with the one where the element
     stands earliest; then, by list, the pairs that are not yet in one component and can still reach the similarity by
-    their sizes and places. All candidates are compared exactly on their whole sets. Pairs within a component are not
-    enumerated.
+    their sizes and places. All candidates are compared exactly on their whole sets, and only the sets of candidates are
+    moved. Pairs within a component are not enumerated.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id of the component), one row per row given. Texts without
     words have no shingles and stand alone. A null doc_id is linked with nothing and has no component. Rows that share a
@@ -181,35 +186,45 @@ def jaccard_components(
         boundary = choose_boundary(sizes, percent, float(light.mean() / max(1e-9, cells.mean())))
     base = scratch.keep(given.mapInArrow(
         task(_postings, words, percent, boundary, ranks),
-        "doc_id long, node long, n long, signatures array<long>, places array<int>"), "base")
+        "doc_id long, node binary, n int, signatures array<long>, places array<int>"), "base")
     members = scratch.keep(base.select("doc_id", "node", "n"), "members")
+
+    def sets_of(pairs: DataFrame, name: str) -> DataFrame:
+        """The whole sets of the nodes of some pairs, made again from the text of one document each."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        chosen = scratch.keep(members.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), f"{name}-of")
+        return scratch.keep(given.join(chosen, "doc_id").select("node", "__text").mapInArrow(
+            task(_elements, words, ranks), "node binary, keys array<long>"), name)
+
     posts = base.filter(F.size("signatures") > 0).select("node", "n", F.explode(F.arrays_zip("signatures", "places")).alias("p")).select(
         F.col("p.signatures").alias("sig"), "node", "n", F.col("p.places").alias("pos"))
     # one shuffle of the postings, for the lists and for the join with them
     posts = posts.repartition("sig")
     hubs = posts.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n")).alias("hub"))
     hubs = hubs.filter("low <> high").select("sig", F.col("hub.node").alias("h_node"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
-    shared = scratch.keep(posts.join(hubs, "sig"), "shared")
+    shared = scratch.keep(posts.join(hubs, "sig").filter("node <> h_node"), "shared")
     scratch.drop("base")
-    chosen = members.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = scratch.keep(chosen.join(given, "doc_id").select("node", "__text").mapInArrow(
-        task(_elements, words, ranks), "node long, keys array<long>"), "sets")
+    del base, posts, hubs, counted
+    scratch.release()
     own = shared.select("sig", "node", "n", "pos", "h_node", "h_n", "h_pos")
-    stars = own.filter(F.col("node") != F.col("h_node")).filter(_can_reach(percent, "", "h_"))
-    stars = stars.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
-    links = scratch.keep(_verified(stars, sets, percent), "links")
+    stars = own.filter(_can_reach(percent, "", "h_"))
+    stars = scratch.keep(stars.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct(), "stars")
+    links = scratch.keep(_verified(stars, sets_of(stars, "star-sets"), percent), "links")
+    scratch.drop("stars", "star-sets")
+    scratch.release()
     labels, used = components(scratch, links, "first")
-    placed = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).filter(F.col("node") != F.col("h_node"))
+    placed = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sides = [placed.select("sig", *[F.col(c).alias(f"{s}{c}") for c in ("node", "n", "pos", "label")]) for s in ("a_", "b_")]
     open_ = sides[0].alias("x").join(
         sides[1].alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("a_node") < F.col("b_node"))
         & (F.col("a_label") != F.col("b_label")) & _can_reach(percent, "a_", "b_"))
-    more = scratch.keep(_verified(open_.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), sets, percent), "more")
+    open_ = scratch.keep(open_.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "open")
+    more = scratch.keep(_verified(open_, sets_of(open_, "open-sets"), percent), "more")
     if not more.isEmpty():
         labels, again = components(scratch, links.union(more), "second")
         used += again
     grouped = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = grouped.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     result = grouped.join(smallest, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
-    return scratch.done(result, "members", "shared", "sets", "links", "more", *used)
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
+    return scratch.done(result, "members", "shared", "star-sets-of", "links", "open", "open-sets", "open-sets-of", "more", *used)
