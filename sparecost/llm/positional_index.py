@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sparecost.llm.common import Scratch, task
 from sparecost.llm.resampling import words_of
 
-_BLOCK = 4 << 20
+_BLOCK = 2 << 20
 _TESTS = 4 << 20
 _PIECE = 4096
 
@@ -231,47 +231,52 @@ def _tightest(phrase: np.ndarray, first: np.ndarray, last: np.ndarray, most: np.
     return phrase[kept], first[kept], last[kept]
 
 
+def _blocks(batches):
+    """The blocks of an index one by one, so that one at a time is held as Python objects."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _matches(batches, broadcast, slop: int):
     """Every match: __row, item, begin in the item, first and last word in the document."""
     phrases: Phrases = broadcast.value
-    for batch in batches:
-        for row in batch.to_pylist():
-            lists = _Lists(row, phrases.vocabulary)
-            phrase, first, last = _search(lists, phrases, slop)
-            owners = phrases.owner_from[phrase + 1] - phrases.owner_from[phrase]
-            at = _spread(phrases.owner_from[phrase], owners)
-            document = np.repeat(lists.document(first), owners)
-            origin = lists.first[document]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.array(row["rows"], np.int64)[document]), pa.array([phrases.items[i] for i in phrases.owners[at]], pa.string()),
-                pa.array(phrases.begins[at]), pa.array(np.repeat(first, owners) - origin), pa.array(np.repeat(last, owners) - origin),
-            ], names=["__row", "item", "begin", "first", "last"])
+    for row in _blocks(batches):
+        lists = _Lists(row, phrases.vocabulary)
+        phrase, first, last = _search(lists, phrases, slop)
+        owners = phrases.owner_from[phrase + 1] - phrases.owner_from[phrase]
+        at = _spread(phrases.owner_from[phrase], owners)
+        document = np.repeat(lists.document(first), owners)
+        origin = lists.first[document]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.array(row["rows"], np.int64)[document]), pa.array([phrases.items[i] for i in phrases.owners[at]], pa.string()),
+            pa.array(phrases.begins[at]), pa.array(np.repeat(first, owners) - origin), pa.array(np.repeat(last, owners) - origin),
+        ], names=["__row", "item", "begin", "first", "last"])
 
 
 def _hits(batches, broadcast):
     """Per document with a match: the covered ranges of words, merged, and the items."""
     phrases: Phrases = broadcast.value
-    for batch in batches:
-        for row in batch.to_pylist():
-            lists = _Lists(row, phrases.vocabulary)
-            phrase, first, last = _search(lists, phrases, 0)
-            document = lists.document(first)
-            rows, spans, items = [], [], []
-            for d in np.unique(document).tolist():
-                own = document == d
-                covered = np.zeros(int(lists.first[d + 1] - lists.first[d]) + 1, np.int64)
-                np.add.at(covered, first[own] - lists.first[d], 1)
-                np.add.at(covered, last[own] + 1 - lists.first[d], -1)
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(covered) > 0, [0]]).astype(np.int8)))
-                of = np.unique(phrase[own])
-                owners = np.unique(phrases.owners[_spread(phrases.owner_from[of], phrases.owner_from[of + 1] - phrases.owner_from[of])])
-                rows.append(row["rows"][d])
-                spans.append([{"a": a, "b": b} for a, b in edges.reshape(-1, 2).tolist()])
-                items.append([phrases.items[i] for i in owners])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rows, pa.int64()), pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
-                pa.array(items, pa.list_(pa.string())),
-            ], names=["__row", "spans", "items"])
+    for row in _blocks(batches):
+        lists = _Lists(row, phrases.vocabulary)
+        phrase, first, last = _search(lists, phrases, 0)
+        document = lists.document(first)
+        rows, spans, items = [], [], []
+        for d in np.unique(document).tolist():
+            own = document == d
+            covered = np.zeros(int(lists.first[d + 1] - lists.first[d]) + 1, np.int64)
+            np.add.at(covered, first[own] - lists.first[d], 1)
+            np.add.at(covered, last[own] + 1 - lists.first[d], -1)
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(covered) > 0, [0]]).astype(np.int8)))
+            of = np.unique(phrase[own])
+            owners = np.unique(phrases.owners[_spread(phrases.owner_from[of], phrases.owner_from[of + 1] - phrases.owner_from[of])])
+            rows.append(row["rows"][d])
+            spans.append([{"a": a, "b": b} for a, b in edges.reshape(-1, 2).tolist()])
+            items.append([phrases.items[i] for i in owners])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(rows, pa.int64()), pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
+            pa.array(items, pa.list_(pa.string())),
+        ], names=["__row", "spans", "items"])
 
 
 def _each_group(index: DataFrame, groups, scratch: Scratch, func, schema: str, *args) -> tuple[DataFrame, list[str]]:
