@@ -79,6 +79,26 @@ def test_shards(docs, texts):
     assert [r.doc_id for r in sorted(found, key=lambda r: (r.shard, r.slot))] != sorted(i for i, _ in texts)
 
 
+def test_written_shards_keep_their_order(docs, texts, tmp_path):
+    path = str(tmp_path / "shards")
+    sharding.write_shards(sharding.shard_documents(docs, 5, bucket_bytes=5000), path)
+    back = docs.sparkSession.read.parquet(path).collect()
+    assert Counter(r.doc_id for r in back) == Counter(i for i, _ in texts) and {r.shard for r in back} == set(range(5))
+
+
+def test_every_bucket_is_its_own_partition(docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(sharding, "_GROUP", 3)
+    rows = docs.select("doc_id", "text", F.lit(10).alias("size"))
+    order = sharding.shuffled(rows, ["doc_id"], F.col("size"), bucket_bytes=60)
+    found = order.withColumn("part", F.spark_partition_id()).select("bucket", "part").distinct().collect()
+    assert len(found) > 10 and all(r.bucket == r.part for r in found)
+    before = {r.bucket: (r.before, r.total) for r in sharding._before(order).collect()}
+    counts = {r["bucket"]: r["count"] for r in order.groupBy("bucket").count().collect()}
+    assert before == {b: (sum(n for c, n in counts.items() if c < b), sum(counts.values())) for b in counts}
+
+
 def test_shards_keep_repeated_rows(docs, texts):
     found = sharding.shard_documents(docs.union(docs), 3).collect()
     assert Counter(r.doc_id for r in found) == {i: 2 for i, _ in texts}
