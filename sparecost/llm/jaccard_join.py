@@ -16,6 +16,8 @@ from sparecost.llm.components import components
 _SLICE = 2 << 20
 _CELL_BITS = 16
 _MOST = 1024
+_SKETCH = 1024
+_BITMAP = 1 << 27
 _U = np.uint64
 
 
@@ -91,13 +93,20 @@ def _name(keys: np.ndarray) -> bytes:
     return hashlib.blake2b(keys.tobytes(), digest_size=16).digest()
 
 
+def _sketch(keys: np.ndarray) -> np.ndarray:
+    """Bits that the elements of a set fall on, as 64-bit numbers. A bit that another set lacks is an element it lacks."""
+    bits = np.zeros(_SKETCH, bool)
+    bits[(keys & _U(_SKETCH - 1)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def _postings(batches, words: int, percent: int, boundary: int, ranks: np.ndarray):
     seen = set()
     pairs: dict = {}
     for batch in batches:
         ids = batch.column("doc_id")
         known = ids.is_valid().to_numpy(zero_copy_only=False)
-        node, size, lists, signatures, places = [], [], [0], [], []
+        node, size, sketches, lists, signatures, places = [], [], [], [0], [], []
         for i, keys in _sets(batch.column("__text"), words, ranks):
             n, count = len(keys), 0
             own = _name(keys) if n else None
@@ -117,34 +126,58 @@ def _postings(batches, words: int, percent: int, boundary: int, ranks: np.ndarra
                     places.append(np.arange(p, dtype=np.int32))
                     count += p
             node.append(own), size.append(n), lists.append(lists[-1] + count)
+            sketches.append(_sketch(keys) if count else None)
         at = pa.array(np.array(lists, np.int32))
         flat = np.concatenate(signatures).view(np.int64) if signatures else np.zeros(0, np.int64)
         place = np.concatenate(places) if places else np.zeros(0, np.int32)
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array(node, pa.binary()), pa.array(size, pa.int32()), pa.ListArray.from_arrays(at, pa.array(flat)),
-             pa.ListArray.from_arrays(at, pa.array(place))], names=["doc_id", "node", "n", "signatures", "places"])
+             pa.ListArray.from_arrays(at, pa.array(place)), pa.array(sketches, pa.list_(pa.int64()))],
+            names=["doc_id", "node", "n", "signatures", "places", "sketch"])
 
 
-def _elements(batches, words: int, ranks: np.ndarray):
+def _elements(batches, words: int, ranks: np.ndarray, bitmap):
+    """Names and sorted sets of the documents whose cell is in the bitmap; the others are not looked at."""
+    wanted = np.unpackbits(bitmap.value, bitorder="little")
     for batch in batches:
-        wanted = batch.column("node").to_pylist()
+        batch = batch.filter(pa.array(wanted[batch.column("__cell").to_numpy()].astype(bool)))
         node, found = [], []
-        for i, keys in _sets(batch.column("__text"), words, ranks):
-            own = _name(keys)
-            if own == wanted[i]:
-                node.append(own), found.append(keys.view(np.int64))
+        for _, keys in _sets(batch.column("__text"), words, ranks):
+            node.append(_name(keys)), found.append(keys.view(np.int64))
         at = np.concatenate([[0], np.cumsum([len(k) for k in found])]).astype(np.int32)
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=["node", "keys"])
 
 
+def _bitmap(cells: DataFrame) -> np.ndarray:
+    """One bit for each of _BITMAP cells, whatever the number of rows: 16 MB at most reach the driver."""
+    place = F.col("cell") + 1  # these functions count from 1
+    parts = cells.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    found = np.zeros(_BITMAP // 8, np.uint8)
+    for row in parts.toLocalIterator():
+        found[(row["bucket"] - 1) * 4096:row["bucket"] * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return found
+
+
 def _can_reach(percent: int, left: str, right: str) -> Column:
     """Whether the elements from the common one on can still reach the similarity."""
     rest = F.least(F.col(f"{left}n") - F.col(f"{left}pos"), F.col(f"{right}n") - F.col(f"{right}pos"))
     return 100 * rest >= percent * (F.col(f"{left}n") + F.col(f"{right}n") - rest)
 
 
+def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that may reach the similarity: the elements known to be missing on either side bound the overlap from above."""
+    sides = [sketches.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}")) for s in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+
+    def missing(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))), F.lit(0), lambda t, c: t + c)
+
+    overlap = F.least(F.col("na") - missing("sa", "sb"), F.col("nb") - missing("sb", "sa"))
+    return both.filter(100 * overlap >= percent * (F.col("na") + F.col("nb") - overlap)).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("keys").alias("ka")), "a")
     both = one.join(sets.select(F.col("node").alias("b"), F.col("keys").alias("kb")), "b")
@@ -163,8 +196,8 @@ def jaccard_components(
     unless given) enumerate the pairs of their prefix, larger ones go through the list of each element of theirs; both
     find every pair that reaches the similarity. On each list all sets are first compared with the one where the element
     stands earliest; then, by list, the pairs that are not yet in one component and can still reach the similarity by
-    their sizes and places. All candidates are compared exactly on their whole sets, and only the sets of candidates are
-    moved. Pairs within a component are not enumerated.
+    their sizes and places. Pairs whose sketches rule the similarity out are dropped, the others are compared exactly on
+    their whole sets; no text is moved, and only the sets of such pairs are. Pairs within a component are not enumerated.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id of the component), one row per row given. Texts without
     words have no shingles and stand alone. A null doc_id is linked with nothing and has no component. Rows that share a
@@ -186,15 +219,21 @@ def jaccard_components(
         boundary = choose_boundary(sizes, percent, float(light.mean() / max(1e-9, cells.mean())))
     base = scratch.keep(given.mapInArrow(
         task(_postings, words, percent, boundary, ranks),
-        "doc_id long, node binary, n int, signatures array<long>, places array<int>"), "base")
+        "doc_id long, node binary, n int, signatures array<long>, places array<int>, sketch array<long>"), "base")
     members = scratch.keep(base.select("doc_id", "node", "n"), "members")
 
-    def sets_of(pairs: DataFrame, name: str) -> DataFrame:
-        """The whole sets of the nodes of some pairs, made again from the text of one document each."""
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        chosen = scratch.keep(members.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), f"{name}-of")
-        return scratch.keep(given.join(chosen, "doc_id").select("node", "__text").mapInArrow(
-            task(_elements, words, ranks), "node binary, keys array<long>"), name)
+    # of the documents with equal sets the one of the smallest id stands for all
+    nodes = scratch.keep(base.filter("sketch is not null").groupBy("node").agg(F.min(F.struct("doc_id", "n", "sketch")).alias("m")).select("node", "m.*"), "nodes")
+
+    def candidates(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Pairs that pass the sketches, and the whole sets of their nodes, made again from one document each."""
+        close = scratch.keep(_close(pairs.distinct(), nodes, percent), name)
+        ends = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
+        cell = F.pmod(F.xxhash64("doc_id"), F.lit(_BITMAP))
+        bitmap = spark.sparkContext.broadcast(_bitmap(nodes.join(ends, "node").select(cell.alias("cell"))))
+        texts = given.filter("doc_id is not null").select("__text", cell.alias("__cell"))
+        sets = texts.mapInArrow(task(_elements, words, ranks, bitmap), "node binary, keys array<long>").join(ends, "node", "left_semi")
+        return close, scratch.keep(sets.dropDuplicates(["node"]), f"{name}-sets")
 
     posts = base.filter(F.size("signatures") > 0).select("node", "n", F.explode(F.arrays_zip("signatures", "places")).alias("p")).select(
         F.col("p.signatures").alias("sig"), "node", "n", F.col("p.places").alias("pos"))
@@ -208,9 +247,10 @@ def jaccard_components(
     scratch.release()
     own = shared.select("sig", "node", "n", "pos", "h_node", "h_n", "h_pos")
     stars = own.filter(_can_reach(percent, "", "h_"))
-    stars = scratch.keep(stars.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct(), "stars")
-    links = scratch.keep(_verified(stars, sets_of(stars, "star-sets"), percent), "links")
-    scratch.drop("stars", "star-sets")
+    stars = stars.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b"))
+    links = scratch.keep(_verified(*candidates(stars, "stars"), percent), "links")
+    scratch.drop("stars", "stars-sets")
+    del stars
     scratch.release()
     labels, used = components(scratch, links, "first")
     placed = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -218,8 +258,8 @@ def jaccard_components(
     open_ = sides[0].alias("x").join(
         sides[1].alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("a_node") < F.col("b_node"))
         & (F.col("a_label") != F.col("b_label")) & _can_reach(percent, "a_", "b_"))
-    open_ = scratch.keep(open_.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "open")
-    more = scratch.keep(_verified(open_, sets_of(open_, "open-sets"), percent), "more")
+    open_ = open_.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    more = scratch.keep(_verified(*candidates(open_, "open"), percent), "more")
     if not more.isEmpty():
         labels, again = components(scratch, links.union(more), "second")
         used += again
@@ -227,4 +267,4 @@ def jaccard_components(
     smallest = grouped.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     result = grouped.join(smallest, "label", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
-    return scratch.done(result, "members", "shared", "star-sets-of", "links", "open", "open-sets", "open-sets-of", "more", *used)
+    return scratch.done(result, "members", "nodes", "shared", "links", "open", "open-sets", "more", *used)

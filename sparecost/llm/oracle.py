@@ -26,6 +26,27 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
+JACCARD = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[k:k + 2], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY x.r, y.r),
+e AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach(r, q) AS (SELECT r, r FROM d UNION SELECT reach.r, e.b FROM reach JOIN e ON reach.q = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) JOIN reach USING (r) JOIN d o ON o.r = reach.q GROUP BY d.r, d.doc_id
+"""
+
+PHRASES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT r, doc_id, k, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) > 12)),
+m AS (SELECT r, k FROM (SELECT r, doc_id, k, min(doc_id) OVER (PARTITION BY g) AS least FROM x) WHERE least < doc_id),
+c AS (SELECT DISTINCT r, unnest(range(k, k + 13)) AS i FROM m),
+u AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+t AS (SELECT u.r, string_agg(word, ' ' ORDER BY u.i) AS kept, count(*) AS n FROM u LEFT JOIN c ON c.r = u.r AND c.i = u.i WHERE c.r IS NULL GROUP BY u.r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (r)
+"""
+
 # crc32 by its table of 256 remainders
 CRC_TABLE = """SELECT list(v ORDER BY b) AS crc FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, s:
   CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS b))"""
@@ -59,6 +80,8 @@ SELECT s.doc_id, s.n_features, s.weight, s.weight + s.noise AS score, a.rank FRO
 """
 
 SQL: dict[str, str] = {
+    "op1_jaccard_join": JACCARD,
+    "op9_phrase_dedup": PHRASES,
     "op5_exact_dedup": EXACT,
     "op11_decontamination": DECONTAMINATION,
     "op12_importance_resampling": RESAMPLING,
