@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparecost.llm.chat import link_quotes
-from sparecost.llm.common import table
+from sparecost.llm.chat import link_quotes, render_quotes
+from sparecost.llm.common import Scratch, table
 from sparecost.llm.conversation_repair import repair_damaged
 from sparecost.llm.exact_dedup import exact_dedup
 from sparecost.llm.jaccard_join import jaccard_components
@@ -55,7 +55,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotes(table(spark, sf_dir, "conversations"))
+    """Every turn rendered as a mail that quotes the turns before it; replies and own words are found again from the mails alone."""
+    mails = Scratch(spark, "mails").keep(render_quotes(table(spark, sf_dir, "conversations")), "mails")
+    found = link_quotes(mails)
+    own = mails.select("conv_id", "turn", F.trim("own").alias("own")).dropDuplicates(["conv_id", "turn"])
+    known = found["conv_id"].eqNullSafe(own["conv_id"]) & found["turn"].eqNullSafe(own["turn"])
+    return found.join(own, known, "left").select(found["*"], F.trim("body").eqNullSafe(F.col("own")).alias("body_right"))
 
 
 def op9_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

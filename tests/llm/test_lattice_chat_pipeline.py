@@ -73,6 +73,28 @@ def test_quotes(spark):
     assert chat.link_quotes(df.limit(0)).count() == 0
 
 
+def test_parts_of_a_message_are_linked(spark):
+    rows = [(1, 0, "user", "One line.\nSecond  line\n\nThird."), (1, 1, "user", "x"), (1, 2, "user", "> second line\nYes."), (1, 3, "user", "> Second line\n> third.\nNo."),
+            (1, 4, "user", "> One line. Third.\nHm."), (1, 5, "user", "\n".join(f"> l{i}" for i in range(12)) + "\nlate"), (1, 6, "user", "\n".join(f"l{i}" for i in range(12))),
+            (1, 7, "user", "\n".join(f"> l{i}" for i in range(12)) + "\nend")]
+    found = {r.turn: r.reply_to for r in chat.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert found == {0: None, 1: None, 2: 0, 3: 0, 4: None, 5: None, 6: None, 7: 6}
+
+
+def test_rendered_quotes_are_found_again(spark):
+    """Replies and own words against the truth that the mails were made from, on a whole table."""
+    given = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    mails = chat.render_quotes(given).cache()
+    found = chat.link_quotes(mails).collect()
+    assert len(found) == given.count()
+    text = {(r.conv_id, r.turn): (r.text or "").strip() for r in given.collect()}
+    replies = [r for r in found if text.get((r.conv_id, r.turn - 1))]
+    assert len(replies) > 300 and all(r.n_quotes for r in replies)
+    right = sum(r.reply_to == r.turn - 1 for r in replies)
+    assert right >= 0.95 * len(replies)
+    assert all(r.body.strip() == text[r.conv_id, r.turn] for r in found)
+
+
 def test_pipeline(spark, docs, labels, tmp_path):
     folder = str(tmp_path / "sf")
     docs.drop("__row").write.parquet(f"{folder}/documents.parquet")
