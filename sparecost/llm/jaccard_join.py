@@ -201,7 +201,8 @@ def jaccard_components(
 
     Returns doc_id, n_shingles, component_id (smallest doc_id of the component), one row per row given. Texts without
     words have no shingles and stand alone. A null doc_id is linked with nothing and has no component. Rows that share a
-    doc_id and a text are one document; rows that share a doc_id only are linked by their own texts.
+    doc_id and a text are one document; rows that share a doc_id only are linked by their own texts. Texts may be of any
+    length. Other columns are not read, so their names cannot clash. No rows give no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")

@@ -143,8 +143,9 @@ def train_network(docs: DataFrame, labels: DataFrame, rows_per_label: int = 1500
     given = given.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     parts = [given.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_label) for q in (0, 1)]
     chosen = F.broadcast(parts[0].union(parts[1]))  # 2 * rows_per_label rows at most
-    chunks = docs.join(chosen, "doc_id").select("doc_id", "quality", "__text").mapInArrow(
-        task(_sample, chunks_per_row), "doc_id long, quality int, chunk binary").collect()
+    # of rows that share an id one is used, so as many rows are collected as were chosen
+    used = docs.join(chosen, "doc_id").groupBy("doc_id", "quality").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
+    chunks = used.mapInArrow(task(_sample, chunks_per_row), "doc_id long, quality int, chunk binary").collect()
     network = Network(seed)
     if chunks:
         chunks.sort(key=lambda r: (r["doc_id"], r["chunk"]))
@@ -162,8 +163,10 @@ def quality_scores(
     """Score every whole text with a network trained on labelled documents.
 
     Returns doc_id, held_out (crc32 of the id as text is divisible by 5), score and predicted (1 from `threshold` on), one
-    row per row given. Null and empty texts are scored as an empty chunk. A null id is not held out and never trained on.
-    Without labelled rows the network keeps its initial weights.
+    row per row given; equal texts are scored alike, and of rows that share a labelled id one text is trained on. Null and
+    empty texts are scored as an empty chunk; texts may be of any length. A null id is not held out and never trained on.
+    Other columns are not read, so their names cannot clash. Without labelled rows the network keeps its initial weights;
+    no rows give no rows.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
     network = train_network(given, labels, rows_per_label, seed=seed)

@@ -78,7 +78,8 @@ def quality_rules(
     rules and its score is at least `threshold`.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept, one row per row
-    given. Null and empty texts have no words and fail the base rules; their score is 0. Repeated rows are scored alike.
+    given. Null and empty texts have no words and fail the base rules; their score is 0. Texts may be of any length. Repeated
+    rows are scored alike, and each counts. Other columns are not read, so their names cannot clash. No rows give no rows.
     """
     trusted = (
         labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")

@@ -2,7 +2,9 @@
 
 import array
 import hashlib
+import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -200,12 +202,29 @@ def test_phrases(docs, texts):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == expected
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def expected_scores(rows, trusted, buckets):
+    """Mean log ratio of hashed words and pairs of words, as the engine's 64-bit hash gives them."""
+    def grams(text):
+        h = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in WORD.findall(text or "")]
+        chained = [signed(xxhash.xxh64_intdigest(struct.pack("<q", b), xxhash.xxh64_intdigest(struct.pack("<q", a), 42))) for a, b in zip(h, h[1:])]
+        return [x % buckets for x in h + chained]
+
+    raw, target = Counter(), Counter()
+    for i, t in rows:
+        raw.update(grams(t))
+        target.update(grams(t) if i in trusted else [])
+    all_raw, all_target = sum(raw.values()), sum(target.values())
+    ratio = {b: math.log((target[b] + buckets * (n / all_raw)) / ((all_target + buckets) * (n / all_raw))) for b, n in raw.items()}
+    return [sum(ratio[g] for g in grams(t)) / len(grams(t)) if grams(t) else 0.0 for _, t in rows]
+
+
 def test_rules(docs, texts, labels):
     buckets = 512
-    grams, raw, target = {}, Counter(), Counter()
-    for i, t in texts:
-        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORD.findall(t or "")]
-        grams[i] = [x % buckets for x in h] if h else []
+    scores = dict(zip([i for i, _ in texts], expected_scores(texts, {7, 8, 100}, buckets)))
     found = {r.doc_id: r for r in quality_rules.quality_rules(docs, labels, buckets=buckets).collect()}
     assert len(found) == len(texts)
     for i, t in texts:
@@ -219,8 +238,14 @@ def test_rules(docs, texts, labels):
         assert (r.n_words, r.word_chars, r.n_symbols) == (len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"))
         assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), repeat)
         assert r.base_failed == (len(w) < 20 or 100 * repeat > 30 * len(w))
-        assert r.kept == (not r.base_failed and r.score >= -0.1)
-    assert found[7].score > found[20].score and found[3].score == 0
+        assert r.score == pytest.approx(scores[i], abs=1e-9) and r.kept == (not r.base_failed and scores[i] >= -0.1)
+
+
+def test_rules_of_repeated_rows(spark, texts, labels):
+    rows = texts + texts[6:12] + [(None, texts[10][1])]
+    found = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string"), labels, buckets=512).collect()
+    want = Counter((i, round(s, 9)) for (i, _), s in zip(rows, expected_scores(rows, {7, 8, 100}, 512)))
+    assert Counter((r.doc_id, round(r.score, 9)) for r in found) == want
 
 
 def test_rules_without_labels(docs, labels):
@@ -282,6 +307,42 @@ def test_network_scores_whole_texts(docs, texts, labels):
     assert found[3].score == found[4].score
 
 
+def test_forward_pass(texts):
+    """The table form against the plain sum over filters, windows, chunks and documents."""
+    import numpy as np
+
+    network, some = quality_cnn.Network(3), [t or "" for _, t in texts[:12]] + ["ab", "abcd" * 300]
+    raw = [t.encode()[:3000] for t in some]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    got = network.scores(np.frombuffer(b"".join(raw), np.uint8), offsets, network._pairs())
+    for text, score in zip(raw, got):
+        values, start = [], 0
+        while True:
+            chunk = text[start:start + quality_cnn.CHUNK]
+            chunk = chunk + b"\0" * max(0, quality_cnn.WIDTH - len(chunk))
+            best = np.max([sum(network.filters[k][chunk[p + k]] for k in range(quality_cnn.WIDTH)) for p in range(len(chunk) - quality_cnn.WIDTH + 1)], axis=0)
+            values.append(float(np.maximum(best + network.bias, 0) @ network.weights + network.offset[0]))
+            start += quality_cnn.STEP
+            if start + quality_cnn.CHUNK - quality_cnn.STEP >= len(text):
+                break
+        assert score == pytest.approx(1 / (1 + math.exp(-np.mean(values))), abs=1e-5)
+
+
+def test_network_with_repeated_rows(spark, texts, labels):
+    rows = texts[:20] + texts[5:9] * 3
+    found = quality_cnn.quality_scores(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows) and len({(r.doc_id, r.score) for r in found}) == 20
+
+
+def test_jaccard_of_repeated_rows(spark, texts):
+    rows = texts + texts[9:30] * 2 + [(None, texts[9][1])]
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = components(texts, 3, 90)
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in found if r.doc_id is not None)
+    assert [r.component_id for r in found if r.doc_id is None] == [None]
+
+
 def test_chunks_cover_the_text():
     import numpy as np
 

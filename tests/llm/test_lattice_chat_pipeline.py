@@ -111,3 +111,34 @@ def test_pipeline(spark, docs, labels, tmp_path):
     assert kept and len([i for i in kept if 100 <= i < 120]) <= 1
     packed = corpus_pipeline.run(spark, folder)
     assert {r.doc_id for r in packed.collect()} == kept
+
+
+def test_pipeline_keeps_rows_without_an_own_id(spark, docs, labels, tmp_path):
+    """Null ids, shared ids and repeated rows through every stage: what must stay stays once, nothing is doubled."""
+    folder = str(tmp_path / "sf")
+    own = [" ".join(f"w{(i * 7919 + (500 + k) * 104729) % 100003}" for i in range(60)) for k in range(6)]
+    rows = [(1, own[0]), (1, own[1]), (None, own[2]), (None, own[3]), (2, own[4]), (2, own[4]), (None, own[4]), (3, own[5]), (3, own[5].upper()), (4, None), (None, None)]
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{folder}/documents.parquet")
+    labels.limit(0).write.parquet(f"{folder}/labels.parquet")
+    step = spark.read.parquet(f"{folder}/documents.parquet")
+    sizes = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        step = stage(spark, step, folder)
+        path = str(tmp_path / name)
+        step.write.parquet(path)
+        step = spark.read.parquet(path)
+        sizes.append(step.count())
+    assert sizes == [9, 6, 6, 6]
+    found = step.collect()
+    assert sorted(r.text.lower() for r in found) == sorted(own)
+    assert sorted((r.doc_id or 0) for r in found) == [0, 0, 1, 1, 2, 3] or sorted((r.doc_id or 0) for r in found) == [0, 0, 0, 1, 1, 3]
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert len(packed) == 6
+
+
+def test_pipeline_on_empty_tables(spark, docs, labels, tmp_path):
+    folder = str(tmp_path / "sf")
+    docs.drop("__row").limit(0).write.parquet(f"{folder}/documents.parquet")
+    labels.limit(0).write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
