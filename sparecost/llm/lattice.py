@@ -72,11 +72,12 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) ->
     blocks = max(1, -(-int(total) // block_bytes))
     given = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"),
-        F.pmod(F.xxhash64(id_col, F.xxhash64(text_col)), F.lit(blocks)).alias("block"))
+        # never null, and known not to be: else the join would filter one of its two sides and shuffle it anew
+        F.coalesce(F.pmod(F.xxhash64(id_col, F.xxhash64(text_col)), F.lit(blocks)), F.lit(0)).alias("block"))
     return given.repartition(blocks, "block"), blocks
 
 
-def encoded_words(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 48 << 20) -> DataFrame:
+def encoded_words(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """Every word of every text with its ids: block, doc_id, __key, at (number of the word), word, ids.
 
     Texts are shuffled once, into blocks. Words are counted once per block, so a frequent word costs a row per block; all
@@ -86,16 +87,20 @@ def encoded_words(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     given, _ = in_blocks(docs, id_col, text_col, block_bytes)
     placed = given.select("block", "doc_id", F.xxhash64("__text").alias("__key"), F.posexplode_outer(
         F.expr(f"case when __text = '' then null else {words_of()} end")).alias("at", "word"))
-    known = encode_words(placed.filter("word is not null").select("block", "word").distinct(), pieces, about, ["block"])
+    # the ids take part in the list of words, which keeps them in its exchange: it is then the one that the texts use too
+    listed = placed.filter("word is not null").groupBy("block", "word").agg(F.max(F.xxhash64("doc_id")).alias("__any")).filter("__any is not null")
+    known = encode_words(listed.select("block", "word"), pieces, about, ["block"])
     return placed.join(known.hint("shuffle_hash"), ["block", "word"], "left")
 
 
-def sentencepiece_check(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 48 << 20) -> DataFrame:
+def sentencepiece_check(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """Encode every whole text, decode the ids again and compare.
 
-    Returns per document: doc_id, n_words, n_pieces, ids_hash (of all ids in order), round_trip (whether the decoded
-    words are the text's). Empty and null texts have no pieces and a true round_trip. Rows that share id and text come
-    back as one row; no rows give no rows. Pieces are scored as the model file gives them: for a unigram model these are the library's
+    Returns per row given: doc_id, n_words, n_pieces, ids_hash (of all ids and their places), round_trip (whether the decoded
+    words are the text's). Empty and null texts have no pieces and a true round_trip. Rows that share id and text are counted
+    and each returned; a null id is an id as any other. Texts may be long, but the fold over a single word of n letters copies
+    its state n times (16,000 letters took 16 s). Other columns are not read, so their names cannot clash. No rows give no
+    rows. Pieces are scored as the model file gives them: for a unigram model these are the library's
     own ids, for other kinds the segmentation of the highest total score.
     """
     spark = docs.sparkSession
@@ -105,12 +110,15 @@ def sentencepiece_check(docs: DataFrame, model: str, id_col: str = "doc_id", tex
     # keys that contain the block need no other shuffle
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     try:
+        first = F.col("at").isNull() | (F.col("at") == 0)
         found = decoded.groupBy("block", "doc_id", "__key").agg(
-            F.count("word").alias("n_words"), F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n_pieces"),
-            F.bit_xor(F.when(F.col("word").isNotNull(), F.xxhash64("at", "ids"))).alias("ids_hash"),
+            F.count_if(first).alias("copies"), F.count("word").alias("n_words"), F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n_pieces"),
+            F.sum(F.when(F.col("word").isNotNull(), F.xxhash64("at", "ids")).cast("decimal(38,0)")).alias("ids_hash"),
             F.bool_and(F.col("word").isNull() | F.col("decoded").eqNullSafe(F.col("word"))).alias("round_trip"))
-        return Scratch(spark, "lattice").keep(found.select(
-            "doc_id", "n_words", F.greatest("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce("ids_hash", F.lit(0)).alias("ids_hash"), "round_trip"), "result")
+        each = found.select(
+            "doc_id", F.expr("n_words div copies").alias("n_words"), F.expr("greatest(n_pieces, 0) div copies").alias("n_pieces"),
+            F.expr("coalesce(xxhash64(cast(ids_hash / copies as string)), 0)").alias("ids_hash"), "round_trip", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+        return Scratch(spark, "lattice").keep(each.drop("copy"), "result")
     finally:
         spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", before)
 

@@ -1,6 +1,7 @@
 """Lattice encoding, quotation linking, the pipeline."""
 
 import math
+from collections import Counter
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -47,6 +48,27 @@ def test_lattice_matches_viterbi_and_round_trips(spark, docs, texts):
     assert len(checked) == len(texts) and all(r.round_trip for r in checked)
 
 
+def test_lattice_returns_every_row(spark, docs, texts):
+    """Copies of a row, also an odd and an even number of them, have the figures of the row alone."""
+    rows = [t for t in texts if len(t[1] or "") < 1500]
+    more = rows + rows[3:9] + rows[5:12] * 2 + [(None, "same text"), (None, "same text")]
+    alone = {r.doc_id: tuple(r) for r in lattice.sentencepiece_check(spark.createDataFrame(rows, "doc_id long, text string"), MODEL, block_bytes=4000).collect()}
+    found = lattice.sentencepiece_check(spark.createDataFrame(more, "doc_id long, text string").repartition(3), MODEL, block_bytes=4000).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in more)
+    assert all(tuple(r) == alone[r.doc_id] for r in found if r.doc_id is not None)
+
+
+def test_texts_are_shuffled_once(spark, docs):
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        words = lattice.encoded_words(docs, MODEL, block_bytes=4000)
+        words.collect()
+        plan = words._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("ReusedExchange") == 1 and "hashpartitioning(word" not in plan
+
+
 def test_lattice_empty(nothing, no_ids):
     assert lattice.sentencepiece_check(nothing, MODEL).count() == 0
     assert {(r.n_pieces > 0) for r in lattice.sentencepiece_check(no_ids, MODEL).collect()} == {True, False}
