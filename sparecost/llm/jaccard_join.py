@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,8 @@ from sparecost.llm.common import Scratch, runs_of, task, text_buffer
 from sparecost.llm.components import components
 
 _SLICE = 2 << 20
-_CELL_BITS = 16
+_CELL_BITS = 22
+_CHUNK_BITS = 16
 _MOST = 1024
 _SKETCH = 1024
 _BITMAP = 1 << 27
@@ -45,21 +47,65 @@ def _sets(column, words: int, ranks: np.ndarray | None):
         at = offsets[a:b + 1] - offsets[a]
         values, first = _shingles(grams.LOWER[data[offsets[a]:offsets[b]]], at, words)
         if ranks is not None:
-            values = ranks[values & _U((1 << _CELL_BITS) - 1)] | (values >> _U(_CELL_BITS))
+            cells = (values & _U((1 << _CELL_BITS) - 1)).astype(np.int64)
+            values = ranks[cells].astype(np.uint64) << _U(64 - _CELL_BITS) | (values >> _U(_CELL_BITS))
         for i in range(b - a):
             yield a + i, np.unique(values[first[i]:first[i + 1]])
 
 
 def _loads(batches, words: int):
+    """Elements per cell, up to 255 of a task, in compressed chunks of cells; and documents per size, in a chunk of its own."""
     cells, sizes = np.zeros(1 << _CELL_BITS, np.int64), np.zeros(_MOST + 1, np.int64)
+    held, count = [], 0
+
+    def flush():
+        if held:
+            np.add(cells, np.bincount(np.concatenate(held), minlength=len(cells)), out=cells)
+            held.clear()
+
     for batch in batches:
         for _, values in _sets(batch.column("__text"), words, None):
-            cells += np.bincount((values & _U((1 << _CELL_BITS) - 1)).astype(np.int64), minlength=len(cells))
             sizes[min(len(values), _MOST)] += 1
-    for kind, counts in enumerate((cells, sizes)):
-        key = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int32)), pa.array(counts[key])], names=["kind", "key", "n"])
+            held.append((values & _U((1 << _CELL_BITS) - 1)).astype(np.int64))
+            count += len(values)
+            if count > 1 << 21:
+                flush()
+                count = 0
+    flush()
+    chunks = np.minimum(cells, 255).astype(np.uint8).reshape(-1, 1 << _CHUNK_BITS)
+    rows = [(k, zlib.compress(chunk.tobytes(), 1)) for k, chunk in enumerate(chunks) if chunk.any()] + [(-1, zlib.compress(sizes.tobytes(), 1))]
+    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())], names=["chunk", "counts"])
+
+
+def _summed(batches):
+    """One row per chunk: the sum of its counts; rows come sorted by chunk."""
+    at, total = None, None
+    for batch in batches:
+        for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
+            counts = np.frombuffer(zlib.decompress(raw.as_py()), np.int64 if chunk < 0 else np.uint8).astype(np.int64)
+            if chunk != at:
+                if at is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counts"])
+                at, total = chunk, counts
+            else:
+                total = total + counts
+    if at is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["chunk", "counts"])
+
+
+def cell_loads(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Load of each cell and number of documents of each size. A fixed number of cells: 32 MB reach the driver."""
+    parts = texts.mapInArrow(task(_loads, words), "chunk int, counts binary").repartition(1 << (_CELL_BITS - _CHUNK_BITS), "chunk")
+    merged = parts.sortWithinPartitions("chunk").mapInArrow(task(_summed), "chunk int, counts binary")
+    cells, sizes = np.zeros(1 << _CELL_BITS, np.int64), np.zeros(_MOST + 1, np.int64)
+    width = 1 << _CHUNK_BITS
+    for row in merged.toLocalIterator():
+        counts = np.frombuffer(row["counts"], np.int64)
+        if row["chunk"] < 0:
+            sizes += counts
+        else:
+            cells[row["chunk"] * width:(row["chunk"] + 1) * width] = counts
+    return cells, sizes
 
 
 def prefix(n: int, percent: int, common: int) -> int:
@@ -100,8 +146,8 @@ def _sketch(keys: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _postings(batches, words: int, percent: int, boundary: int, ranks: np.ndarray):
-    seen = set()
+def _postings(batches, words: int, percent: int, boundary: int, ranks):
+    seen, ranks = set(), ranks.value
     pairs: dict = {}
     for batch in batches:
         ids = batch.column("doc_id")
@@ -136,13 +182,13 @@ def _postings(batches, words: int, percent: int, boundary: int, ranks: np.ndarra
             names=["doc_id", "node", "n", "signatures", "places", "sketch"])
 
 
-def _elements(batches, words: int, ranks: np.ndarray, bitmap):
+def _elements(batches, words: int, ranks, bitmap):
     """Names and sorted sets of the documents whose cell is in the bitmap; the others are not looked at."""
     wanted = np.unpackbits(bitmap.value, bitorder="little")
     for batch in batches:
         batch = batch.filter(pa.array(wanted[batch.column("__cell").to_numpy()].astype(bool)))
         node, found = [], []
-        for _, keys in _sets(batch.column("__text"), words, ranks):
+        for _, keys in _sets(batch.column("__text"), words, ranks.value):
             node.append(_name(keys)), found.append(keys.view(np.int64))
         at = np.concatenate([[0], np.cumsum([len(k) for k in found])]).astype(np.int32)
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -207,17 +253,14 @@ def jaccard_components(
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
-    counted = given.select("__text").mapInArrow(task(_loads, words), "kind int, key int, n long")
-    cells, sizes = np.zeros(1 << _CELL_BITS, np.int64), np.zeros(_MOST + 1, np.int64)
-    # a fixed number of cells and sizes
-    for row in counted.groupBy("kind", "key").agg(F.sum("n").alias("n")).collect():
-        (sizes if row["kind"] else cells)[row["key"]] = row["n"]
-    ranks = np.empty(len(cells), np.uint64)
-    ranks[np.lexsort((np.arange(len(cells)), cells))] = np.arange(len(cells), dtype=np.uint64) << _U(48)
+    cells, sizes = cell_loads(given.select("__text"), words)
+    ranks = np.empty(len(cells), np.uint32)
+    ranks[np.lexsort((np.arange(len(cells)), cells))] = np.arange(len(cells), dtype=np.uint32)
     if boundary is None:
         # a prefix takes its elements from the lighter cells
         light = np.sort(cells)[:len(cells) // 2]
         boundary = choose_boundary(sizes, percent, float(light.mean() / max(1e-9, cells.mean())))
+    ranks = spark.sparkContext.broadcast(ranks)  # 16 MB
     base = scratch.keep(given.mapInArrow(
         task(_postings, words, percent, boundary, ranks),
         "doc_id long, node binary, n int, signatures array<long>, places array<int>, sketch array<long>"), "base")
@@ -244,7 +287,7 @@ def jaccard_components(
     hubs = hubs.filter("low <> high").select("sig", F.col("hub.node").alias("h_node"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
     shared = scratch.keep(posts.join(hubs, "sig").filter("node <> h_node"), "shared")
     scratch.drop("base")
-    del base, posts, hubs, counted
+    del base, posts, hubs
     scratch.release()
     own = shared.select("sig", "node", "n", "pos", "h_node", "h_n", "h_pos")
     stars = own.filter(_can_reach(percent, "", "h_"))
