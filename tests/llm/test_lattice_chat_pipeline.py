@@ -66,7 +66,7 @@ def test_texts_are_shuffled_once(spark, docs):
         plan = words._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     finally:
         spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
-    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("ReusedExchange") == 1 and "hashpartitioning(word" not in plan
+    assert plan.count("ReusedExchange") == 1 and "hashpartitioning(word" not in plan
 
 
 def test_lattice_empty(nothing, no_ids):
