@@ -68,16 +68,17 @@ def event_base(
 ) -> DataFrame:
     """Filter the events of the period and attach part, product line (two roles) and return columns.
 
-    Events, returns and activity costs share the link key: their joins use one partitioning.
+    Events, returns and activity costs share the link key: their joins use one partitioning. A part or a product line that
+    a master has twice fails the job, as it would double lines.
     """
     lines = events.filter(
         F.col("master_event_activity_month").between(period.start_month, period.end_month) & in_scope()
     )
-    hwpl = product_lines.select("hwpl", "spl")
-    parts = part_master.select(
+    hwpl = unique_source(product_lines.filter(F.col("hwpl").isNotNull()).select("hwpl", "spl"), ["hwpl"])
+    parts = unique_source(part_master.filter(F.col("material").isNotNull()).select(
         F.col("material").alias("part_number"), "region", "hw_prod_line", "part_commodity",
         F.col("material_description").alias("part_description"),
-    )
+    ), ["part_number", "region"])
     costs = activity.select("unique_link_key", F.col("event_spl").alias("sc_spl"))
     found = return_columns(returns)
     # events without a part are spread, or they would meet in one partition of the join with the part master

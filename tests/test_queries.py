@@ -6,7 +6,7 @@ import pytest
 from compare import compare, database
 
 import __spark_entry__ as entry_points
-from sparecost.testbed.queries import QUERIES, refresh
+from sparecost.testbed.queries import QUERIES, event_base, refresh
 from sparecost.testbed.standins import BASE_TABLES, Bed
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -45,15 +45,32 @@ def test_two_returns_of_one_key_fail(spark):
         refresh(bed, bed["returns"].union(bed["returns"])).collect()
 
 
-@pytest.mark.parametrize("name", ("final_disposition", "contract_credits", "tax_alloc", "interim_total"))
-def test_no_job_starts_while_a_plan_is_built(spark, name):
+@pytest.mark.parametrize("master", ("part_master", "product_lines"))
+def test_a_doubled_master_row_fails(spark, master):
+    bed = Bed(spark, DIRECTORY)
+    bed._made[master] = bed[master].union(bed[master])
+    with pytest.raises(Exception, match="two source rows for key"):
+        event_base(bed).collect()
+
+
+# these store tables while they run
+WRITERS = {
+    "archive_period", "archive_quarter", "charges_any_spelling", "drop_recreate", "full_quarter", "full_quarter_older", "interim_label",
+    "inv_reval_alloc", "inv_trueup_alloc", "landing_filtered", "refresh_own_target", "reload_days", "repair_link", "union_months",
+}
+
+
+def test_no_job_starts_while_a_plan_is_built(spark):
     """Files are opened for their schema by jobs of their own, so tables are read before."""
     bed, tracker = Bed(spark, DIRECTORY), spark.sparkContext.statusTracker()
     for table in BASE_TABLES:
         bed[table]
-    spark.sparkContext.setJobGroup(name, name)
-    try:
-        QUERIES[name].run(bed)
-        assert not tracker.getJobIdsForGroup(name)
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    started = []
+    for name in sorted(set(QUERIES) - WRITERS):
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            QUERIES[name].run(bed)
+            started += [name] if tracker.getJobIdsForGroup(name) else []
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert started == []
