@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparecost.operators import SALT, hot_keys, salted
-from sparecost.plans import checks, consumption, credits, disposition, interim, link, pools, supplier
+from sparecost.plans import checks, consumption, credits, disposition, interim, inventory, link, pools, supplier
 from sparecost.rules import Period
 
 P = "2017Q1"
@@ -157,3 +157,37 @@ def test_lines_without_an_item_do_not_share_a_key(spark):
     flags = frame(spark, "region string, so_item string, dmr_flag string", ("APJ", "S1", "DMR"))
     found = credits.dmr_status(lines, flags)
     assert {r[0] for r in found.select("dmr_status").distinct().collect()} == {"No DMR"} and "__item" not in found.columns
+
+
+def reads(df, path):
+    """How often the final plan of a DataFrame reads files, of a folder if its name is short."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return sum(path in line for line in plan.splitlines() if "FileScan" in line)
+
+
+def test_interim_reads_each_quarter_once(spark, tmp_path):
+    schema = ("unique_link_key string, region string, part_number string, warranty_flag string, dmr_status string, part_qty_consumed int, "
+              "part_qty_demanded int, event_pn_nrs double, event_spl string, cons_cost double, nppo_cost double, relabel_cost double, "
+              "dekit_cost double, taxes double, total_matl_cost double, data_period string")
+    lines = [(f"{p}{i}", "APJ", "P1", "IW", "No DMR", i, 2, 4.0, "07", 3.0, None, 1.0, 0.0, 0.0, 10.0, p) for p in ("2016Q4", "2017Q1", "2017Q2") for i in range(3)]
+    frame(spark, schema, *lines).write.partitionBy("data_period").parquet(str(tmp_path / "history"))
+    history = spark.read.schema(schema).parquet(str(tmp_path / "history"))
+    found = interim.interim_costs(history, None, "2017Q1")
+    assert reads(found, "parquet") == 2 and found.count() == 3
+
+
+def test_stock_is_read_once(spark, tmp_path):
+    schema = ("region string, support_product_line string, subregion string, type string, country string, plant string, location string, condition string, "
+              "source string, value_current double, reserve_current double")
+    stock = frame(spark, schema, *[("APJ", "07", "S", "T", "JP", "P1", f"L{i % 3}", "Good", "X", 1.0 + i, 0.5) for i in range(30)])
+    for name in ("start", "end"):
+        stock.write.parquet(str(tmp_path / name))
+    keys = frame(spark, "inv_plant_location string, special_alloc_key string", ("P1L0", "K"))
+    cube = frame(spark, "region_l2 string, spl string, type string, adj_cube double", ("APJeC", "07", "Std Rev Costs", 100.0), ("APJeC", "07", "E&O Costs", 10.0))
+    start, end = (spark.read.schema(schema).parquet(str(tmp_path / name)) for name in ("start", "end"))
+    places = inventory.allocation_key(inventory.snapshot(start), inventory.end_reserve(end), keys)
+    assert (reads(places, "/start"), reads(places, "/end")) == (1, 1)
+    model = inventory.inventory_model(start, end, keys, cube)
+    assert reads(model, "/start") == 0 and reads(model, "/end") == 0
+    assert sum(r["std_rev_usd"] for r in model.collect()) == pytest.approx(100.0)
