@@ -55,24 +55,25 @@ def _sets(column, words: int, ranks: np.ndarray | None):
 
 def _loads(batches, words: int):
     """Elements per cell, up to 255 of a task, in compressed chunks of cells; and documents per size, in a chunk of its own."""
-    cells, sizes = np.zeros(1 << _CELL_BITS, np.int64), np.zeros(_MOST + 1, np.int64)
+    cells, sizes = np.zeros(1 << _CELL_BITS, np.uint8), np.zeros(_MOST + 1, np.int64)
     held, count = [], 0
 
     def flush():
         if held:
-            np.add(cells, np.bincount(np.concatenate(held), minlength=len(cells)), out=cells)
+            own, more = np.unique(np.concatenate(held), return_counts=True)
+            cells[own] = np.minimum(cells[own] + more, 255)
             held.clear()
 
     for batch in batches:
         for _, values in _sets(batch.column("__text"), words, None):
             sizes[min(len(values), _MOST)] += 1
-            held.append((values & _U((1 << _CELL_BITS) - 1)).astype(np.int64))
+            held.append((values & _U((1 << _CELL_BITS) - 1)).astype(np.int32))
             count += len(values)
-            if count > 1 << 21:
+            if count > 1 << 20:
                 flush()
                 count = 0
     flush()
-    chunks = np.minimum(cells, 255).astype(np.uint8).reshape(-1, 1 << _CHUNK_BITS)
+    chunks = cells.reshape(-1, 1 << _CHUNK_BITS)
     rows = [(k, zlib.compress(chunk.tobytes(), 1)) for k, chunk in enumerate(chunks) if chunk.any()] + [(-1, zlib.compress(sizes.tobytes(), 1))]
     yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())], names=["chunk", "counts"])
 
@@ -183,13 +184,17 @@ def _postings(batches, words: int, percent: int, boundary: int, ranks):
 
 
 def _elements(batches, words: int, ranks, bitmap):
-    """Names and sorted sets of the documents whose cell is in the bitmap; the others are not looked at."""
-    wanted = np.unpackbits(bitmap.value, bitorder="little")
+    """Names and sorted sets of the documents whose cell is in the bitmap, each set once a task; the others are not looked at."""
+    bits, ranks, seen = bitmap.value, ranks.value, set()
     for batch in batches:
-        batch = batch.filter(pa.array(wanted[batch.column("__cell").to_numpy()].astype(bool)))
+        cell = batch.column("__cell").to_numpy()
+        batch = batch.filter(pa.array((bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0))
         node, found = [], []
-        for _, keys in _sets(batch.column("__text"), words, ranks.value):
-            node.append(_name(keys)), found.append(keys.view(np.int64))
+        for _, keys in _sets(batch.column("__text"), words, ranks):
+            name = _name(keys)
+            if name not in seen:
+                seen.add(name)
+                node.append(name), found.append(keys.view(np.int64))
         at = np.concatenate([[0], np.cumsum([len(k) for k in found])]).astype(np.int32)
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -228,7 +233,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("keys").alias("ka")), "a")
     both = one.join(sets.select(F.col("node").alias("b"), F.col("keys").alias("kb")), "b")
     both = both.withColumn("common", F.size(F.array_intersect("ka", "kb")))
-    return both.filter(100 * F.col("common") >= percent * (F.size("ka") + F.size("kb") - F.col("common"))).select("a", "b")
+    return both.filter(100 * F.col("common") >= percent * (F.size("ka") + F.size("kb") - F.col("common"))).select("a", "b").distinct()
 
 
 def jaccard_components(
@@ -255,7 +260,7 @@ def jaccard_components(
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
     cells, sizes = cell_loads(given.select("__text"), words)
     ranks = np.empty(len(cells), np.uint32)
-    ranks[np.lexsort((np.arange(len(cells)), cells))] = np.arange(len(cells), dtype=np.uint32)
+    ranks[np.argsort(cells, kind="stable")] = np.arange(len(cells), dtype=np.uint32)
     if boundary is None:
         # a prefix takes its elements from the lighter cells
         light = np.sort(cells)[:len(cells) // 2]
@@ -276,8 +281,10 @@ def jaccard_components(
         cell = F.pmod(F.xxhash64("doc_id"), F.lit(_BITMAP))
         bitmap = spark.sparkContext.broadcast(_bitmap(nodes.join(ends, "node").select(cell.alias("cell"))))
         texts = given.filter("doc_id is not null").select("__text", cell.alias("__cell"))
-        sets = texts.mapInArrow(task(_elements, words, ranks, bitmap), "node binary, keys array<long>").join(ends, "node", "left_semi")
-        return close, scratch.keep(sets.dropDuplicates(["node"]), f"{name}-sets")
+        # a cell may let a few other sets through; they meet no pair, or the same pair again
+        sets = scratch.keep(texts.mapInArrow(task(_elements, words, ranks, bitmap), "node binary, keys array<long>"), f"{name}-sets")
+        bitmap.destroy()
+        return close, sets
 
     posts = base.filter(F.size("signatures") > 0).select("node", "n", F.explode(F.arrays_zip("signatures", "places")).alias("p")).select(
         F.col("p.signatures").alias("sig"), "node", "n", F.col("p.places").alias("pos"))
@@ -304,6 +311,7 @@ def jaccard_components(
         & (F.col("a_label") != F.col("b_label")) & _can_reach(percent, "a_", "b_"))
     open_ = open_.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     more = scratch.keep(_verified(*candidates(open_, "open"), percent), "more")
+    ranks.destroy()
     if not more.isEmpty():
         labels, again = components(scratch, links.union(more), "second")
         used += again

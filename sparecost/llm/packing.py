@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparecost.llm.common import Scratch, task
 
-_CACHED = 800_000
+_CACHED = 500_000
 _JOINED = 1000
 #: a space before other white space or at the end: such a text is encoded as a whole
 _ODD_SPACE = re.compile(r" (?=\s|$)")

@@ -152,6 +152,9 @@ def phrase_dedup(
     bitmap = repeated_cells(spark, given, True, length, WINDOW, bits)
     found = segments(given, True, length, WINDOW, bits, bitmap, True)
     spans = scratch.keep(found.repartition("h").sortWithinPartitions("h").mapInArrow(task(_located, length), SPANS), "spans")
+    bitmap.destroy()
+    del found
+    scratch.release()
     cut = with_spans(given, spans).mapInArrow(
         task(_cut, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     return scratch.done(cut if with_text else cut.drop("kept_text"), "spans")
