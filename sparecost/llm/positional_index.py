@@ -24,6 +24,7 @@ from sparecost.llm.resampling import words_of
 _BLOCK = 2 << 20
 _TESTS = 4 << 20
 _PIECE = 4096
+_CANDIDATES = 4 << 20
 
 
 # ---- the index ----------------------------------------------------------------------------------------
@@ -179,14 +180,21 @@ class _Lists:
 
 
 def _search(lists: _Lists, phrases: Phrases, slop: int):
-    """Phrase, first and last place of every match in a block."""
+    """Phrase, first and last place of every match in a block, for as many phrases at once as have _CANDIDATES candidates."""
     none = np.zeros(0, np.int64)
     count = np.where(phrases.terms >= 0, lists.count[phrases.terms], np.iinfo(np.int64).max)
     able = np.flatnonzero((count > 0).all(axis=1)) if len(lists.places) else none
-    if not len(able):
-        return none, none, none
+    found = [(none, none, none)]
+    share = np.cumsum(count[able].min(axis=1)) // _CANDIDATES if len(able) else none
+    for own in np.split(able, np.flatnonzero(np.diff(share)) + 1) if len(able) else ():
+        found.append(_intersected(lists, phrases, own, count[own], slop))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def _intersected(lists: _Lists, phrases: Phrases, able: np.ndarray, count: np.ndarray, slop: int):
+    """Matches of some phrases, all of whose terms the block has; count has the lengths of their lists."""
     terms, lengths = phrases.terms[able].astype(np.int64), phrases.lengths[able]
-    by_rarity = np.argsort(count[able], axis=1, kind="stable")
+    by_rarity = np.argsort(count, axis=1, kind="stable")
     offset = by_rarity[:, 0]
     rarest = terms[np.arange(len(able)), offset]
     of = np.repeat(np.arange(len(able)), lists.count[rarest])

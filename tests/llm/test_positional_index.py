@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from sparecost.llm import positional_index as index
@@ -85,6 +86,22 @@ def in_order(w, window, slop):
     return [(a, b) for a, b in tight if b - a + 1 <= len(window) + slop]
 
 
+def test_candidates_in_portions(monkeypatch):
+    """Few candidates at a time give the matches of all at once."""
+    random.seed(4)
+    rows = [" ".join(random.choice("abc") for _ in range(60)) for _ in range(5)]
+    block = index._block(list(range(5)), list(range(5)), pa.int64(), [w for t in rows for w in index.words_of(t)], [0, 60, 120, 180, 240, 300])
+    phrases = index.phrases_of([("i", 0, b"a b c a b a c b a b c c a"), ("j", 0, b"b b a")], 3)
+    lists = index._Lists(block.to_pylist()[0], phrases.vocabulary)
+
+    def every(slop):
+        return sorted(zip(*[part.tolist() for part in index._search(lists, phrases, slop)]))
+
+    whole = [every(slop) for slop in (0, 2)]
+    monkeypatch.setattr(index, "_CANDIDATES", 30)
+    assert [every(slop) for slop in (0, 2)] == whole and len(whole[0]) > 20
+
+
 @pytest.mark.parametrize("slop", [0, 1, 3])
 def test_proximity(spark, slop):
     random.seed(slop)
