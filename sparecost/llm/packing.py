@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparecost.llm.common import Scratch, task
 
-_CACHED = 500_000
+_CACHED = 150_000
 _JOINED = 1000
 #: a space before other white space or at the end: such a text is encoded as a whole
 _ODD_SPACE = re.compile(r" (?=\s|$)")
@@ -25,8 +25,8 @@ class WordEncoder:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE of this kind never joins what stands before a space with what follows it, so the ids of a text are
-    those of its words, each with the space before it. Words that were met before are taken from a cache that is emptied
-    when full; new ones are encoded many at once, as one text that is cut where an id begins with a space. Texts with other
+    those of its words, each with the space before it. Words that were met before are taken from a cache, of which words of
+    more than two ids go when it is full; new ones are encoded many at once, as one text that is cut where an id begins with a space. Texts with other
     runs of white space, or with the name of a special token, are encoded as a whole.
     """
 
@@ -60,7 +60,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > _CACHED:
-            self.cache.clear()
+            # words of few ids are the frequent ones
+            self.cache = {w: ids for w, ids in self.cache.items() if len(ids) <= 8}
         split, whole = {}, []
         for i, text in enumerate(texts):
             if _ODD_SPACE.search(text) or any(s in text for s in self.special):
@@ -84,8 +85,8 @@ def _pieces(batches, path: str, capacity: int, end_id: int, keep_ids: bool):
     encoder = _tokenizers.get(path) or _tokenizers.setdefault(path, WordEncoder(path))
     end = array.array("I", [end_id]).tobytes()
     for batch in batches:
-        for first in range(0, batch.num_rows, 512):
-            part = batch.slice(first, 512)
+        for first in range(0, batch.num_rows, 256):
+            part = batch.slice(first, 256)
             texts = [t or "" for t in part.column("__text").to_pylist()]
             row, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, ids in enumerate(encoder.encode(texts)):
