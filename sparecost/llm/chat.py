@@ -53,14 +53,28 @@ def render_quotes(messages: DataFrame, conv_id: str = "conv_id", turn: str = "tu
     return mails.select("conv_id", "turn", "role", quotes.alias("text"), "own")
 
 
+def _longer_runs(plain: DataFrame, quotes: DataFrame, key: list[str]) -> DataFrame:
+    """Runs of more than _RUN lines that may be a quoted passage: conv_id, turn, part.
+
+    They begin where the first _RUN lines of such a passage of the conversation stand, and have its number of lines. Only
+    numbers are joined; a message then cuts its own runs.
+    """
+    wanted = quotes.filter(f"long > {_RUN}").select("conv_id", F.col("head").alias("h"), "long").distinct()
+    messages = plain.filter("conv_id is not null and turn is not null").select(*key, F.expr(_lines("body")).alias("ls")).filter(f"size(ls) > {_RUN}")
+    heads = messages.dropDuplicates(key).select(*key, F.size("ls").alias("size"), F.posexplode(F.expr(
+        f"transform(sequence(0, size(ls) - {_RUN}), i -> xxhash64(array_join(slice(ls, i + 1, {_RUN}), ' ')))")).alias("at", "h"))
+    found = heads.join(wanted, ["conv_id", "h"]).filter("at + long <= size").groupBy(*key).agg(F.collect_set(F.struct("at", "long")).alias("runs"))
+    return messages.join(found, key).select("conv_id", "turn", F.explode(F.expr("transform(runs, r -> array_join(slice(ls, r.at + 1, r.long), ' '))")).alias("part"))
+
+
 def link_quotes(messages: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Reply structure of conversations, and each message without its quotes.
 
     Lines that begin with > are quotes; the number of marks is their level. Consecutive lines of one level make a passage.
     Passages, and all runs of up to 8 lines of the own words of every message, are normalised (lower case, single spaces,
     blank lines left out) and hashed; so a passage may be any lines of a message that follow each other. A passage is
-    joined to the earliest message of its conversation that says it, if that comes before the quoting turn; a longer one by its first
-    8 lines. A message answers the latest message that its first-level passages are linked to; where none is linked, the
+    joined to the earliest message of its conversation that says it, if that comes before the quoting turn. For a longer one the
+    runs of its length are hashed where its first 8 lines stand, so all its lines decide. A message answers the latest message that its first-level passages are linked to; where none is linked, the
     latest one that deeper passages are. A thread is a message without such a link and all that answer it, directly or not.
 
     Returns per message: conv_id, turn, role, n_quotes (passages), n_linked, max_level, reply_to (turn), thread (turn that
@@ -96,14 +110,17 @@ def link_quotes(messages: DataFrame, conv_id: str = "conv_id", turn: str = "turn
     said = plain.filter("conv_id is not null and turn is not null").select("conv_id", "turn", F.expr(_lines("body")).alias("ls"))
     said = said.select("conv_id", "turn", F.explode(F.expr(
         f"flatten(transform(ls, (l, i) -> transform(sequence(1, least({_RUN}, size(ls) - i)), n -> array_join(slice(ls, i + 1, n), ' '))))")).alias("part"))
+    quotes = passages.filter("level > 0").select(*key, "level", F.expr(_lines("passage")).alias("ls"))
+    quotes = scratch.keep(quotes.filter("size(ls) > 0").select(
+        *key, "level", F.size("ls").alias("long"), F.expr(f"xxhash64(array_join(slice(ls, 1, {_RUN}), ' '))").alias("head"),
+        F.expr("array_join(ls, ' ')").alias("part")).select(*key, "level", "long", "head", F.xxhash64("part").alias("h"), F.length("part").alias("n")), "quotes")
+    said = said.unionByName(_longer_runs(plain, quotes, key))
     origins = said.groupBy("conv_id", F.xxhash64("part").alias("h"), F.length("part").alias("n")).agg(F.min("turn").alias("origin"))
-    quotes = passages.filter("level > 0").select(*key, "level", F.expr(f"array_join(slice({_lines('passage')}, 1, {_RUN}), ' ')").alias("part"))
-    quotes = quotes.filter("part <> ''").select(*key, "level", F.xxhash64("part").alias("h"), F.length("part").alias("n"))
     links = scratch.keep(quotes.join(origins, ["conv_id", "h", "n"]).filter("origin < turn").groupBy("conv_id", "turn").agg(
         F.coalesce(F.max(F.when(F.col("level") == 1, F.col("origin"))), F.max("origin")).alias("reply_to"),
         F.count(F.lit(1)).alias("n_linked")), "links")
     # follow replies to the message that opens the thread; each round doubles the distance
-    roots, used = links.select("conv_id", "turn", F.col("reply_to").alias("thread")), ["passages", "plain", "links"]
+    roots, used = links.select("conv_id", "turn", F.col("reply_to").alias("thread")), ["passages", "plain", "quotes", "links"]
     while True:
         further = roots.select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("next"))
         moved = roots.join(further, ["conv_id", "thread"], "left")

@@ -164,3 +164,14 @@ def test_pipeline_on_empty_tables(spark, docs, labels, tmp_path):
     docs.drop("__row").limit(0).write.parquet(f"{folder}/documents.parquet")
     labels.limit(0).write.parquet(f"{folder}/labels.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_all_lines_of_a_long_passage_are_compared(spark):
+    """A message with the same first lines and another end does not say a passage; one that says it in its middle does."""
+    lines = [f"l{i}" for i in range(20)]
+    quoted = "\n".join(f"> {x}" for x in lines[:15])
+    rows = [(1, 0, "user", "\n".join([*lines[:14], "other"])), (1, 1, "user", "\n".join(["start", *lines])), (1, 2, "user", quoted + "\nYes."),
+            (1, 3, "user", "\n".join(f"> {x}" for x in [*lines[:9], "nobody"])), (2, 0, "user", "\n".join(lines)), (None, 1, "user", quoted), (1, 1, "user", "again")]
+    found = chat.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(found) == len(rows)
+    assert {(r.conv_id, r.turn): (r.reply_to, r.n_linked) for r in found if r.turn in (2, 3)} == {(1, 2): (1, 1), (1, 3): (None, 0)}
