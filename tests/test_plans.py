@@ -191,3 +191,46 @@ def test_stock_is_read_once(spark, tmp_path):
     model = inventory.inventory_model(start, end, keys, cube)
     assert reads(model, "/start") == 0 and reads(model, "/end") == 0
     assert sum(r["std_rev_usd"] for r in model.collect()) == pytest.approx(100.0)
+
+
+def _largest(df, name):
+    """Rows of the fullest partition of a joined stage, shuffled by 8."""
+    return max(r[0] for r in df.groupBy(F.spark_partition_id().alias(name)).count().select("count").collect())
+
+
+def _lines_without_tags(spark, n=4000):
+    columns = {"region": F.lit("EMEA"), "repair_disposition": F.lit("a"), "repair_warranty_status": F.lit("b"), "l1_supplier": F.lit("c"), "l2_supplier": F.lit("d"),
+               "nppo_cost": F.lit(0.0), "flow_tag": F.lit(None).cast("string"), "part_number": F.lit("P"), "repair_tag_used": F.lit(None).cast("string"),
+               "part_qty_consumed": F.lit(1), "part_commodity": F.lit("Hard Drive")}
+    return spark.range(n).select(F.col("id").cast("string").alias("unique_link_key"), *[c.alias(name) for name, c in columns.items()])
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Only shuffle joins, as with large masters."""
+    given = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for key, value in given.items():
+        spark.conf.set(key, value)
+
+
+def test_lines_without_a_tag_or_vendor_are_spread(spark, shuffled):
+    lines = _lines_without_tags(spark)
+    patch = frame(spark, "flow_tag string, repair_disposition string, repair_warranty_status string", ("FT1", "x", "y"))
+    charges = frame(spark, "vendor string, part_number string, charge double, data_period string", ("SPC", "P", 1.0, P), ("SPC", "Total Credit", -1.0, P))
+    named = frame(spark, "flow_tag string, final_vendor string, data_period string", ("FT1", "x", P))
+    second = frame(spark, "flow_tag string, l1_supplier string, data_period string", ("FT1", "x", P))
+    for done in (link.override_repairs(lines, {"EMEA": [patch]}), supplier.override_by_tag(lines, named, second, P), pools.part_charges(lines, charges, P)):
+        assert done.columns == lines.columns and done.count() == 4000
+        assert _largest(done, "part") < 2000
+
+
+def test_lines_of_a_region_stay_apart(spark, shuffled):
+    """A pool by region does not bring the lines of the region together."""
+    lines = _lines_without_tags(spark).withColumns({"part_qty_demanded": F.lit(2), "event_pn_rvs": F.lit(1.0)})
+    costs = frame(spark, "region string, cost_value double, data_period string", ("EMEA", 8000.0, P))
+    done = pools.non_event(lines, costs, P)
+    assert {r[0] for r in done.select("non_event_cost").collect()} == {2.0}
+    assert _largest(done, "part") < 2000
