@@ -7,7 +7,7 @@ from compare import compare, database
 
 import __spark_entry__ as entry_points
 from sparecost.testbed.queries import QUERIES, event_base, refresh
-from sparecost.testbed.standins import BASE_TABLES, Bed
+from sparecost.testbed.standins import BASE_TABLES, LANDED, Bed, _listed, pick
 
 DIRECTORY = "/root/testdata/sf0.001"
 CHOSEN = (
@@ -74,3 +74,20 @@ def test_no_job_starts_while_a_plan_is_built(spark):
         finally:
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert started == []
+
+
+def test_listed_values_are_those_of_split_part(spark):
+    """Also for rows without an index, and for indexes below zero."""
+    rows = spark.range(-7, 8).selectExpr("id", "CASE WHEN id % 3 <> 1 THEN id END AS k").filter("k IS NULL OR k % 3 <> -1")
+    sql = f"SELECT id, {pick('k', 'a', '', 'c')} AS v, {pick('k', 'x', 'y')} AS w FROM {{rows}} WHERE k IS NULL OR k % 2 <> -1"
+    assert "split_part" not in _listed(sql)
+    assert sorted(map(str, spark.sql(_listed(sql), rows=rows).collect())) == sorted(map(str, spark.sql(sql, rows=rows).collect()))
+
+
+def test_only_what_a_query_needs_is_landed(spark):
+    """The join that others are projections of is written once, by the first query that reads it."""
+    bed = Bed(spark, DIRECTORY, LANDED)
+    bed["supplier_spend"]
+    assert bed._stored == set() and bed.stands()
+    bed["lines"], bed["returns"]
+    assert bed._stored == {"sale"} and bed.stands() and bed["lines"].count() == Bed(spark, DIRECTORY)["lines"].count()
