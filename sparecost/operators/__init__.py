@@ -7,10 +7,11 @@ from sparecost.operators.merge import (
     unique_source,
     with_spread,
 )
+from sparecost.operators.packed import with_rest_packed
 from sparecost.operators.waterfall import Step, waterfall_lookup
 
 __all__ = [
     "SALT", "hot_keys", "replicated", "salted",
     "Pool", "Rule", "Step", "allocate_pool", "latest_per_key",
-    "merge_update", "rate_by_group", "rule_cascade", "unique_source", "waterfall_lookup", "with_spread",
+    "merge_update", "rate_by_group", "rule_cascade", "unique_source", "waterfall_lookup", "with_rest_packed", "with_spread",
 ]

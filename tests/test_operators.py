@@ -1,8 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from sparecost.operators import (
-    Pool, Rule, Step, allocate_pool, latest_per_key, merge_update, rule_cascade, waterfall_lookup, with_spread,
+    Pool, Rule, Step, allocate_pool, latest_per_key, merge_update, rule_cascade, waterfall_lookup, with_rest_packed, with_spread,
 )
 
 
@@ -106,3 +108,21 @@ def test_hot_key_and_null_keys_keep_every_row(spark, threshold):
         assert {r["v"]: r["count"] for r in out.groupBy("v").count().collect()} == {1: n // 3, 2: n // 3, None: n // 3}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_columns_a_step_does_not_use_pass_its_joins_as_one(spark):
+    rows = [("a", 1, None, 2.5, "x"), (None, 2, "t", None, "y"), ("a", 1, None, 2.5, "x"), ("b", None, "u", 1.0, None)]
+    lines = spark.createDataFrame(rows, "k string, n int, t string, d double, z string")
+    master = spark.createDataFrame([("a", 7)], "k string, v int")
+
+    def step(df):
+        return merge_update(df.filter("k IS NOT NULL OR n = 2"), master, ["k"], {"n": "v", "new": F.col("src_v") + 1})
+
+    packed = with_rest_packed(lines, ["k", "n", "absent"], step)
+    assert packed.columns == step(lines).columns and packed.dtypes == step(lines).dtypes
+    assert sorted(map(str, packed.collect())) == sorted(map(str, step(lines).collect()))
+    # one value beside the key and the column that is set
+    joined = re.search(r"Join LeftOuter.*?\n(.*?\n){0,2}?.*?Project \[(.*)\]", packed._jdf.queryExecution().optimizedPlan().toString())
+    assert "struct(t" in joined[2] and "d#" not in joined[2].split("struct(")[0]
+    with pytest.raises(ValueError, match="n"):
+        with_rest_packed(lines, ["k"], step)
