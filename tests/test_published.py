@@ -193,3 +193,20 @@ def test_a_quarter_continues_behind_its_last_cut(spark, monkeypatch):
     with Stages(spark, "2017Q1", quarter.basis(*args)) as stages:
         assert quarter.run_quarter(*args, stages=stages).count() == 3 and stages.resumed == ["base", "classified"]
     assert done == ["based", "classified", "costed", "charged", "credited"]
+
+
+def test_rows_of_few_values_are_written_without_a_shuffle(spark, tmp_path):
+    table = Published(spark, str(tmp_path / "t"), "p")
+    rows_of_two = parts(spark, (1, "a"), (2, "b"), (2, "b"), (4, "b")).repartition(2, "v")
+    assert jobs_of(spark, "unspread", lambda: table.refresh(rows_of_two, spread=False)) < jobs_of(spark, "spread", lambda: table.refresh(rows_of_two))
+    assert rows(table.read()) == rows(table.read(1)) == [(1, "a"), (2, "b"), (2, "b"), (4, "b")]
+    assert table.replace(parts(spark, (3, "b"), (5, "b")), ["b"], spread=False) == 2
+    assert rows(table.read()) == [(1, "a"), (3, "b"), (5, "b")]
+
+
+def test_the_estimate_reads_no_more_than_it_says(spark):
+    numbers = ("part_qty_consumed", "part_qty_demanded", "event_pn_nrs", "cons_cost", "nppo_cost", "relabel_cost", "dekit_cost", "taxes", "total_matl_cost")
+    schema = ", ".join(f"{c} {'double' if c in numbers else 'string'}" for c in interim.READS)
+    history = spark.createDataFrame([tuple({"data_period": p}.get(c, 1.0 if c in numbers else "x") for c in interim.READS) for p in ("2016Q4", "2017Q1")], schema)
+    adders = spark.createDataFrame([("x", "x", 2.0, "2017Q1")], "region string, event_spl string, non_nrs_rate double, data_period string")
+    assert [r["interim_option"] for r in interim.interim_costs(history, adders, "2017Q1").collect()] == ["Option 1 - PART CONS"]
