@@ -210,3 +210,11 @@ def test_the_estimate_reads_no_more_than_it_says(spark):
     history = spark.createDataFrame([tuple({"data_period": p}.get(c, 1.0 if c in numbers else "x") for c in interim.READS) for p in ("2016Q4", "2017Q1")], schema)
     adders = spark.createDataFrame([("x", "x", 2.0, "2017Q1")], "region string, event_spl string, non_nrs_rate double, data_period string")
     assert [r["interim_option"] for r in interim.interim_costs(history, adders, "2017Q1").collect()] == ["Option 1 - PART CONS"]
+
+
+def test_a_period_is_archived_without_a_shuffle(spark, tmp_path):
+    lines = spark.range(4).repartition(2).select(*[F.col("id").cast("string").alias(c) for c in archive.ARCHIVE_COLUMNS])
+    history = Published(spark, str(tmp_path / "t"), "data_period")
+    spread = jobs_of(spark, "replaced", lambda: history.replace(lines.withColumn("data_period", F.lit("x")), ["x"]))
+    assert jobs_of(spark, "archived", lambda: archive.archive_period(lines, history, "2017Q1")) < spread
+    assert history.read().count() == 8
