@@ -211,6 +211,18 @@ def _bitmap(cells: DataFrame) -> np.ndarray:
     return found
 
 
+def _shared(base: DataFrame) -> DataFrame:
+    """The rows of all lists that hold more than one set, each with the row where the element stands earliest on its list."""
+    posts = base.filter(F.size("signatures") > 0).select("node", "n", F.explode(F.arrays_zip("signatures", "places")).alias("p")).select(
+        F.col("p.signatures").alias("sig"), "node", "n", F.col("p.places").alias("pos"))
+    # one shuffle of the postings, for the lists and for the join with them: neither is ever null, but the join would
+    # say so for the nodes on its side only, and the two shuffles would no longer be the same
+    posts = posts.filter("sig IS NOT NULL AND node IS NOT NULL").repartition("sig")
+    hubs = posts.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n")).alias("hub"))
+    hubs = hubs.filter("low <> high").select("sig", F.col("hub.node").alias("h_node"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
+    return posts.join(hubs, "sig").filter("node <> h_node")
+
+
 def _can_reach(percent: int, left: str, right: str) -> Column:
     """Whether the elements from the common one on can still reach the similarity."""
     rest = F.least(F.col(f"{left}n") - F.col(f"{left}pos"), F.col(f"{right}n") - F.col(f"{right}pos"))
@@ -286,15 +298,9 @@ def jaccard_components(
         bitmap.destroy()
         return close, sets
 
-    posts = base.filter(F.size("signatures") > 0).select("node", "n", F.explode(F.arrays_zip("signatures", "places")).alias("p")).select(
-        F.col("p.signatures").alias("sig"), "node", "n", F.col("p.places").alias("pos"))
-    # one shuffle of the postings, for the lists and for the join with them
-    posts = posts.repartition("sig")
-    hubs = posts.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct("pos", "node", "n")).alias("hub"))
-    hubs = hubs.filter("low <> high").select("sig", F.col("hub.node").alias("h_node"), F.col("hub.n").alias("h_n"), F.col("hub.pos").alias("h_pos"))
-    shared = scratch.keep(posts.join(hubs, "sig").filter("node <> h_node"), "shared")
+    shared = scratch.keep(_shared(base), "shared")
     scratch.drop("base")
-    del base, posts, hubs
+    del base
     scratch.release()
     own = shared.select("sig", "node", "n", "pos", "h_node", "h_n", "h_pos")
     stars = own.filter(_can_reach(percent, "", "h_"))

@@ -59,6 +59,24 @@ def test_jaccard(docs, texts, n, percent, boundary):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(texts, n, percent)
 
 
+def test_postings_are_shuffled_once(spark):
+    """The lists and their join use one exchange of the postings, and return the rows of lists that hold more than one set."""
+    rows = [(i, bytearray([65 + i]), 5, [1, 2, 10 + i], [i, 1, 2], None) for i in range(4)] + [(9, bytearray(b"z"), 5, [99], [0], None)]
+    schema = "doc_id long, node binary, n int, signatures array<long>, places array<int>, sketch array<long>"
+    found = jaccard_join._shared(spark.createDataFrame(rows, schema))
+    assert Counter((r.sig, bytes(r.node), r.pos, bytes(r.h_node)) for r in found.collect()) == Counter(
+        (sig, bytes([65 + i]), i if sig == 1 else 1, b"A") for sig in (1, 2) for i in (1, 2, 3))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = jaccard_join._shared(spark.createDataFrame(rows, schema))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(re.findall("(?<!Reused)Exchange hashpartitioning", plan)) == 1 and "ReusedExchange" in plan
+
+
 def test_jaccard_boundary_follows_cost():
     sizes = [0] * 10 + [5] * 200
     import numpy as np
