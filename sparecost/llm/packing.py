@@ -9,12 +9,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparecost.llm.common import Scratch, task
+from sparecost.llm.common import Scratch, runs_of, task, text_buffer
 
-_CACHED = 150_000
+_CACHED = 200_000
+_AT_ONCE = 4 << 20
 _JOINED = 1000
 #: a space before other white space or at the end: such a text is encoded as a whole
 _ODD_SPACE = re.compile(r" (?=\s|$)")
@@ -25,9 +27,9 @@ class WordEncoder:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE of this kind never joins what stands before a space with what follows it, so the ids of a text are
-    those of its words, each with the space before it. Words that were met before are taken from a cache, of which words of
-    more than two ids go when it is full; new ones are encoded many at once, as one text that is cut where an id begins with a space. Texts with other
-    runs of white space, or with the name of a special token, are encoded as a whole.
+    those of its words, each with the space before it. The distinct words of many texts are looked up once in a cache of two
+    generations, of which the older goes when the younger is full; new ones are encoded many at once, as one text that is cut
+    where an id begins with a space. Texts with other runs of white space, or with the name of a special token, are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -35,7 +37,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict = {}
+        self.young: dict = {}
+        self.old: dict = {}
         # a byte-level vocabulary spells a space as the letter that stands for byte 32
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.begins[[i for piece, i in self.tokenizer.get_vocab().items() if piece[0] == chr(256 + 32)]] = True
@@ -58,35 +61,54 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. What is met again moves to the young cache; once that is full it becomes the old one."""
+        young, old = self.young, self.old
+        found = [young.get(w) or old.get(w) for w in words]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(new, self._new([words[i] for i in new])):
+            found[i] = ids
+        young.update(zip(words, found))
+        if len(young) > _CACHED:
+            self.young, self.old = {}, young
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > _CACHED:
-            # words of few ids are the frequent ones
-            self.cache = {w: ids for w, ids in self.cache.items() if len(ids) <= 8}
-        split, whole = {}, []
+        split, whole = [], []
         for i, text in enumerate(texts):
-            if _ODD_SPACE.search(text) or any(s in text for s in self.special):
-                whole.append(i)
-            else:
-                split[i] = text.split(" ")
-        new = set()
-        for words in split.values():
-            new.update(words[1:])
-        new = [w for w in new if w not in self.cache]
-        self.cache.update(zip(new, self._new(new)))
+            (whole if _ODD_SPACE.search(text) or any(s in text for s in self.special) else split).append(i)
         found = dict(zip(whole, self._ids([texts[i] for i in whole])))
-        found |= dict(zip(split, self._ids([words[0] for words in split.values()])))
-        get = self.cache.__getitem__
-        for i, words in split.items():
-            found[i] += b"".join(map(get, words[1:]))
-        return [found[i] for i in range(len(texts))]
+        words = pc.split_pattern(pa.array([texts[i] for i in split], pa.large_string()), " ")
+        at = words.offsets.to_numpy()
+        flat = words.flatten().dictionary_encode()
+        first = dict(zip(split, self._ids(flat.take(pa.array(at[:-1])).to_pylist())))
+        # distinct words are looked up once; the first word of a text has no space before it
+        follows = np.ones(len(flat), bool)
+        follows[at[:-1]] = False
+        codes = flat.indices.to_numpy()[follows]
+        used = np.flatnonzero(np.bincount(codes, minlength=len(flat.dictionary)))
+        ids = self._known(flat.dictionary.take(pa.array(used)).to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        every = np.frombuffer(b"".join(ids), np.uint32) if ids else np.zeros(0, np.uint32)
+        start = np.cumsum(size) - size
+        at = at - np.arange(len(at))
+        places = np.zeros(len(flat.dictionary), np.int64)
+        places[used] = np.arange(len(used))
+        for k, i in enumerate(split):
+            own = places[codes[at[k]:at[k + 1]]]
+            if len(own):
+                ends = np.cumsum(size[own])
+                place = np.repeat(start[own] + size[own] - ends, size[own])
+                first[i] += every[place + np.arange(ends[-1])].tobytes()
+        return [found[i] if i in found else first[i] for i in range(len(texts))]
 
 
 def _pieces(batches, path: str, capacity: int, end_id: int, keep_ids: bool):
     encoder = _tokenizers.get(path) or _tokenizers.setdefault(path, WordEncoder(path))
     end = array.array("I", [end_id]).tobytes()
     for batch in batches:
-        for first in range(0, batch.num_rows, 256):
-            part = batch.slice(first, 256)
+        for first, last in runs_of(text_buffer(batch.column("__text"))[1], _AT_ONCE):
+            part = batch.slice(first, last - first)
             texts = [t or "" for t in part.column("__text").to_pylist()]
             row, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, ids in enumerate(encoder.encode(texts)):

@@ -294,6 +294,19 @@ def test_packing(docs, texts):
     assert len(bins) <= 1.02 * sum(r.length for r in found) / capacity
 
 
+def test_words_in_use_stay_in_a_full_cache(monkeypatch):
+    """Words of several ids that every batch holds are encoded once, however many others pass; ids are those of whole texts."""
+    monkeypatch.setattr(packing, "_CACHED", 40)
+    encoder, asked = packing.WordEncoder(BPE), Counter()
+    new = encoder._new
+    monkeypatch.setattr(encoder, "_new", lambda words: (asked.update(words), new(words))[1])
+    for k in range(20):
+        texts = [f"a Zyxqwv{j}kjhgf " + " ".join(f"q{k}x{i}z" for i in range(20)) + f" Zyxqwv{j}kjhgf" for j in range(5)] + ["", "one", " b", "two  spaces "]
+        assert encoder.encode(texts) == [e for t in texts for e in encoder._ids([t])]
+    assert all(asked[f"Zyxqwv{j}kjhgf"] == 1 for j in range(5))
+    assert encoder.encode([]) == [] and encoder.encode([""]) == [b""]
+
+
 def test_packing_plan_pairs_large_pieces():
     rows = packing.packing_plan({60: 3, 40: 3, 50: 3, 10: 4, 33: 1}, 100)
     at = defaultdict(list)
