@@ -69,6 +69,29 @@ def test_texts_are_shuffled_once(spark, docs):
     assert plan.count("ReusedExchange") == 1 and "hashpartitioning(word" not in plan
 
 
+def test_texts_are_encoded_where_they_are(spark, texts, monkeypatch):
+    """The check shuffles nothing; blocks and steps of any size give the ids of the words, also of a long one."""
+    from sentencepiece import SentencePieceProcessor
+
+    sp = SentencePieceProcessor(model_file=MODEL)
+    pieces = {r.piece: (r.id, r.score) for r in lattice.piece_table(spark, MODEL)[0].collect()}
+    given = [t for t in texts if len(t[1] or "") < 1500] + [(300, "ab" * 3000), (301, "  two  漢字 😀é\n "), (None, "a b")]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    for block in (60, 1 << 20):
+        words = lattice.encoded_texts(df, MODEL, block_bytes=block)
+        assert "Exchange" not in words._jdf.queryExecution().executedPlan().toString()
+        found = words.collect()
+        assert [r.doc_id for r in found] == [i for i, _ in given]
+        for r, (_, text) in zip(found, given):
+            assert "".join(r.words) == ("▁" + text.replace(" ", "▁") if text else "") and len(r.words) == len(r.ids)
+            assert sum(r.ids, []) == (viterbi(text, pieces, sp) if text else [])
+    whole = lattice.Lattice(MODEL)
+    some = ["▁" + w for w in given[-3][1:] + tuple(given[8][1].split())]
+    expected = whole.encode(some).to_pylist()
+    monkeypatch.setattr(lattice, "_LETTERS", 7)
+    assert whole.encode(some).to_pylist() == expected and whole.encode([]).to_pylist() == []
+
+
 def test_lattice_empty(nothing, no_ids):
     assert lattice.sentencepiece_check(nothing, MODEL).count() == 0
     assert {(r.n_pieces > 0) for r in lattice.sentencepiece_check(no_ids, MODEL).collect()} == {True, False}
