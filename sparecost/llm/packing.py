@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import array
 import bisect
+import os
 import re
 import zlib
 
@@ -18,6 +19,7 @@ from sparecost.llm.common import Scratch, runs_of, task, text_buffer
 _CACHED = 200_000
 _AT_ONCE = 4 << 20
 _JOINED = 1000
+_TOGETHER = 16
 #: a space before other white space or at the end: such a text is encoded as a whole
 _ODD_SPACE = re.compile(r" (?=\s|$)")
 _tokenizers: dict = {}
@@ -33,6 +35,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        # the tasks of a machine share its cores already; threads of the tokenizer would hold memory each
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -47,9 +51,10 @@ class WordEncoder:
         """Ids of words with the space before each; `_JOINED` words are one text."""
         found = []
         texts = [" " + " ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)]
-        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        for k, text in enumerate(texts):
             own = words[k * _JOINED:(k + 1) * _JOINED]
-            ids = np.array(e.ids, np.uint32)
+            # one text at a time: what the tokenizer makes of a text is many times larger than its ids
+            ids = np.array(self._encode([text])[0].ids, np.uint32)
             cuts = np.flatnonzero(self.begins[ids])
             if len(cuts) != len(own):  # a vocabulary that joins spaces otherwise
                 found += self._ids([f" {w}" for w in own])
@@ -59,7 +64,10 @@ class WordEncoder:
         return found
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array.array("I", e.ids).tobytes() for i in range(0, len(texts), _TOGETHER) for e in self._encode(texts[i:i + _TOGETHER])]
+
+    def _encode(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def _known(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words. What is met again moves to the young cache; once that is full it becomes the old one."""

@@ -307,6 +307,16 @@ def test_words_in_use_stay_in_a_full_cache(monkeypatch):
     assert encoder.encode([]) == [] and encoder.encode([""]) == [b""]
 
 
+def test_tokenizer_gets_few_texts_at_once(monkeypatch):
+    """What the tokenizer makes of many texts, all of odd spaces or of new words, never stands in memory together; ids stay those of each text."""
+    encoder, given = packing.WordEncoder(BPE), []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts: (given.append(len(texts)), encode(texts))[1])
+    texts = [f"two  spaces {i}" for i in range(50)] + [" ".join(f"q{i * 1000 + j}x" for j in range(400)) for i in range(20)]
+    assert encoder.encode(texts) == [encoder._ids([t])[0] for t in texts]
+    assert max(given) <= packing._TOGETHER
+
+
 def test_packing_plan_pairs_large_pieces():
     rows = packing.packing_plan({60: 3, 40: 3, 50: 3, 10: 4, 33: 1}, 100)
     at = defaultdict(list)
