@@ -1,12 +1,14 @@
 """Tables replaced by one commit, landings in two hops, and runs that continue."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparecost import sources
 from sparecost.plans import archive, interim, quarter
-from sparecost.session import Stages
+from sparecost.session import Stages, stage_end
 from sparecost.sources import Published, PublishConflict
 
 
@@ -218,3 +220,19 @@ def test_a_period_is_archived_without_a_shuffle(spark, tmp_path):
     spread = jobs_of(spark, "replaced", lambda: history.replace(lines.withColumn("data_period", F.lit("x")), ["x"]))
     assert jobs_of(spark, "archived", lambda: archive.archive_period(lines, history, "2017Q1")) < spread
     assert history.read().count() == 8
+
+
+def test_shuffle_files_go_with_the_stage_that_made_them(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    stored = stage_end(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and stored.count() == 7

@@ -7,6 +7,7 @@ from compare import compare, database
 
 import __spark_entry__ as entry_points
 from sparecost.testbed.queries import QUERIES, event_base, refresh
+from sparecost.testbed import standins
 from sparecost.testbed.standins import BASE_TABLES, LANDED, Bed, _listed, pick
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -91,3 +92,15 @@ def test_only_what_a_query_needs_is_landed(spark):
     assert bed._stored == set() and bed.stands()
     bed["lines"], bed["returns"]
     assert bed._stored == {"sale"} and bed.stands() and bed["lines"].count() == Bed(spark, DIRECTORY)["lines"].count()
+
+
+def test_a_landing_in_slices_is_the_whole_join(spark, monkeypatch):
+    """Keys, months and numbers are not stored but made again, and lines meet orders slice by slice."""
+    plain = Bed(spark, DIRECTORY)["sale"]
+    monkeypatch.setattr(standins, "_SLICE_BYTES", 1 << 14)
+    bed = Bed(spark, DIRECTORY, LANDED)
+    landed = bed["sale"]
+    assert landed.dtypes == plain.dtypes and len(bed._landed["sale"]) > 1
+    assert landed.exceptAll(plain).count() == plain.exceptAll(landed).count() == 0
+    stored = spark.read.parquet(f"{bed._folder.path}/{bed._landed['sale'][0]}").columns
+    assert not {"unique_link_key", "h", "g", "sale_month"} & set(stored)
