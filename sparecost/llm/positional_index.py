@@ -18,13 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparecost.llm.common import Scratch, task
+from sparecost.llm.common import Scratch, small_batches, task
 from sparecost.llm.resampling import words_of
 
 _BLOCK = 2 << 20
 _TESTS = 4 << 20
 _PIECE = 4096
 _CANDIDATES = 4 << 20
+# what a worker gets at once, and blocks in a row group: readers hold a whole group, and Parquet looks at bytes every 100 rows only
+_BATCH = 4 << 20
+_GROUP = 4
 
 
 # ---- the index ----------------------------------------------------------------------------------------
@@ -72,6 +75,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         f"rows array<long>, ids array<{kind}>, first array<int>, terms array<binary>, starts array<int>, places binary")
 
 
+def _stored(index: DataFrame, scratch: Scratch) -> DataFrame:
+    """The index on disk; tasks hold a few blocks of it at a time, however large their share of the input is."""
+    with small_batches(index.sparkSession, _BATCH):
+        return scratch.keep(index, "index", **{"parquet.block.row.count.limit": _GROUP})
+
+
 def indexed_documents(index: DataFrame) -> DataFrame:
     """__row, doc_id and n_words of every document of an index."""
     sizes = F.expr("transform(rows, (r, i) -> struct(r AS __row, ids[i] AS doc_id, cast(first[i + 1] - first[i] AS long) AS n_words))")
@@ -294,7 +303,9 @@ def _each_group(index: DataFrame, groups, scratch: Scratch, func, schema: str, *
     for n, phrases in enumerate(groups):
         broadcast = spark.sparkContext.broadcast(phrases)
         names.append(f"found-{n}")
-        found = found.union(scratch.keep(index.select("rows", "first", "terms", "starts", "places").mapInArrow(task(func, broadcast, *args), schema), names[-1]))
+        matches = index.select("rows", "first", "terms", "starts", "places").mapInArrow(task(func, broadcast, *args), schema)
+        with small_batches(spark, _BATCH):
+            found = found.union(scratch.keep(matches, names[-1]))
         broadcast.destroy()
     return found, names
 
@@ -310,7 +321,7 @@ def find_phrases(
     what null, empty or repeated rows give, are as in `contamination`; a row of each pair of equal rows is searched.
     """
     scratch = Scratch(docs.sparkSession, "phrases")
-    index = scratch.keep(build_index(docs, id_col, text_col), "index")
+    index = _stored(build_index(docs, id_col, text_col), scratch)
     groups = phrase_groups(tests, scratch, window, item_col, test_col)
     found, names = _each_group(index, groups, scratch, _matches, "__row long, item string, begin long, first long, last long", slop)
     own = indexed_documents(index).select("__row", "doc_id")
@@ -331,7 +342,7 @@ def contamination(
     their names cannot clash. An empty table of tests leaves all documents clean; without documents there are no rows.
     """
     scratch = Scratch(docs.sparkSession, "contamination")
-    index = scratch.keep(build_index(docs, id_col, text_col, block_bytes), "index")
+    index = _stored(build_index(docs, id_col, text_col, block_bytes), scratch)
     groups = phrase_groups(tests, scratch, window, item_col, test_col, group_bytes)
     found, names = _each_group(index, groups, scratch, _hits, "__row long, spans array<struct<a: long, b: long>>, items array<string>")
     # one row per document and group of tests; a document's merged ranges are fewer than its words

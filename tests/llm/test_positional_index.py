@@ -115,3 +115,21 @@ def test_proximity(spark, slop):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = index.find_phrases(docs, spark.createDataFrame(tests, "item_id long, text string"), window=3, slop=slop).collect()
     assert Counter(map(tuple, found)) == want
+
+
+def test_tasks_hold_few_blocks(spark, tmp_path):
+    """Row groups of the index and the batches of workers do not grow with the rows of a task."""
+    docs = spark.createDataFrame([(i, f"w{i} x y z") for i in range(60)], "doc_id long, text string").coalesce(1)
+    scratch = index.Scratch(spark, "few")
+    stored = index._stored(index.build_index(docs, block_bytes=1), scratch)
+    group = spark.sparkContext._jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    sizes = [b.getRowCount() for f in stored.inputFiles() for b in group(conf, path(f)).getBlocks()]
+    assert sum(sizes) == 60 and max(sizes) <= index._GROUP
+
+    given, rows = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), spark.range(1000).selectExpr("repeat('x', 1000) AS t").coalesce(1)
+    with index.small_batches(spark, 100_000):
+        found = rows.mapInArrow(lambda batches: (b.select([]).from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+    assert sum(r.n for r in found) == 1000 and max(r.n for r in found) < 200
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == given
