@@ -236,3 +236,18 @@ def test_shuffle_files_go_with_the_stage_that_made_them(spark):
             break
         time.sleep(0.1)
     assert not files() - before and stored.count() == 7
+
+
+def test_a_cut_goes_once_the_next_one_is_finished(spark):
+    """Its files go and its mark stays: a later run continues behind it."""
+    def run(stages):
+        df = stages.end("first", lambda: spark.range(10))
+        return stages.end("second", lambda: df.filter("id > 3"), instead_of="first")
+
+    with pytest.raises(RuntimeError):
+        with Stages(spark, "replaced", "a") as stages:
+            assert run(stages).count() == 6
+            assert [s.getPath().getName() for s in stages._fs().listStatus(stages._at("first"))] == ["_SUCCESS"]
+            raise RuntimeError("lost")
+    with Stages(spark, "replaced", "a") as stages:
+        assert run(stages).count() == 6 and stages.resumed == ["first", "second"]
