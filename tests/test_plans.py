@@ -234,3 +234,20 @@ def test_lines_of_a_region_stay_apart(spark, shuffled):
     done = pools.non_event(lines, costs, P)
     assert {r[0] for r in done.select("non_event_cost").collect()} == {2.0}
     assert _largest(done, "part") < 2000
+
+
+def _exchanges(df, *of):
+    """Shuffles of a plan by these columns or of anything."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and all(c in line for c in of)]
+
+
+def test_pools_of_closed_lists_do_not_shuffle_lines(spark, shuffled):
+    lines = _lines_without_tags(spark).withColumns({
+        "part_qty_demanded": F.lit(2), "event_spl": F.lit("01"), "l2_supplier": F.lit("PCG"), "country_inv_costs": F.lit(None).cast("double"),
+        "event_country_iso_cd": F.lit("US"), "region": F.lit("APJ")})
+    by_country = frame(spark, "spl string, iso_country_code string, sub_region string, total_inv_cost double, data_period string", ("01", "US", "S", 8000.0, P))
+    spend = frame(spark, "supplier string, spend double, data_period string", ("PCG", 8000.0, P))
+    for done in (pools.country_inventory(lines, by_country, by_country.drop("sub_region"), P), pools.charge_by_supplier(lines, spend, P)):
+        assert done.count() == 4000 and not [x for x in _exchanges(done) if "l2_supplier#" in x and "sum" not in x]
+        assert "unique_link_key" not in "".join(_exchanges(done)) and _largest(done, "part") < 2000
