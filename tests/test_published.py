@@ -251,3 +251,10 @@ def test_a_cut_goes_once_the_next_one_is_finished(spark):
             raise RuntimeError("lost")
     with Stages(spark, "replaced", "a") as stages:
         assert run(stages).count() == 6 and stages.resumed == ["first", "second"]
+
+
+def test_a_cut_within_a_stage_goes_with_it(spark):
+    with Stages(spark, "within", "a") as stages:
+        names = lambda: sorted(s.getPath().getName() for s in stages._fs().listStatus(stages._at(".")))
+        done = stages.end("one", lambda: stages.cut(stages.cut(spark.range(10)).filter("id > 1")).filter("id > 3"))
+        assert done.count() == 6 and names() == ["one"]
